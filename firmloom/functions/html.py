@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, functions as F
 
 from firmloom.functions.constants import (
@@ -31,7 +33,7 @@ from firmloom.functions.urls import first_matching
 # Comments and script/style bodies; an unclosed one runs to the end of the text.
 _HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\z)"
 _ANCHOR = r"""(?is)<a(?=[\s/>])((?:"[^"]*+"|'[^']*+'|[^>"']++)*+)[^>]*>"""
-_ATTRIBUTE = r"""(?s)([^\s=/>"']++)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+)"""
+ATTRIBUTE_PATTERN = r"""(?s)([^\s=/>"']++)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+)"""
 _NAMED_ENTITIES = {
     "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "copy": "©", "reg": "®",
     "trade": "™", "ndash": "–", "mdash": "—", "hellip": "…", "laquo": "«",
@@ -44,7 +46,7 @@ def _numeric_character(ref: Column) -> Column:
     decimal = F.regexp_extract(ref, "^&#([0-9]+);?$", 1)
     code = F.when(hexed != "", hexed).otherwise(F.hex(decimal.try_cast("bigint")))
     valid = (F.length(code) <= 6) & (F.conv(code, 16, 10).cast("bigint") <= 0x10FFFF)
-    return F.when(valid, F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")).otherwise(F.lit("�"))
+    return F.when(valid, F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
 
 
 def unescape_entities(value: Column) -> Column:
@@ -55,8 +57,8 @@ def unescape_entities(value: Column) -> Column:
         F.array_sort(F.transform(refs, lambda r: F.struct((-F.length(r)).alias("n"), r.alias("r")))), lambda s: s["r"]
     )
     out = F.aggregate(ordered, value, lambda acc, r: F.replace(acc, r, _numeric_character(r)))
-    for name, char in _NAMED_ENTITIES.items():
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(char))
+    named = F.from_json(F.lit(json.dumps([[f"&{n};", c] for n, c in _NAMED_ENTITIES.items()])), "array<array<string>>")
+    out = F.aggregate(named, out, lambda acc, p: F.replace(acc, F.get(p, F.lit(0)), F.get(p, F.lit(1))))
     out = F.replace(out, F.lit("&amp;"), F.lit("&"))
     return F.when(value.contains("&"), out).otherwise(value)
 
@@ -85,8 +87,8 @@ def anchor_hrefs(html: Column) -> Column:
         F.filter(tags, lambda t: t.rlike("(?i)href")),
         lambda t: F.filter(
             F.arrays_zip(
-                F.regexp_extract_all(t, F.lit(_ATTRIBUTE), F.lit(1)).alias("name"),
-                F.regexp_extract_all(t, F.lit(_ATTRIBUTE), F.lit(2)).alias("value"),
+                F.regexp_extract_all(t, F.lit(ATTRIBUTE_PATTERN), F.lit(1)).alias("name"),
+                F.regexp_extract_all(t, F.lit(ATTRIBUTE_PATTERN), F.lit(2)).alias("value"),
             ),
             lambda p: F.lower(p["name"]) == "href",
         ),
@@ -142,24 +144,23 @@ def classify_page_type(url: Column, title: Column) -> Column:
 
 def important_page_links(links: Column) -> Column:
     """Map from page type to its first five links; a link may serve several types."""
-    entries = []
-    for page_type, words in PAGE_TYPE_HINTS.items():
-        hits = F.filter(links, lambda v, words=words: contains_any(F.lower(v), words))
-        entries += [F.lit(page_type), F.slice(hits, 1, 5)]
+
+    def first_five(words: tuple[str, ...]) -> Column:
+        return F.slice(F.filter(links, lambda v: contains_any(F.lower(v), words)), 1, 5)
+
+    entries = [c for page_type, words in PAGE_TYPE_HINTS.items() for c in (F.lit(page_type), first_five(words))]
     return F.map_filter(F.create_map(*entries), lambda _, v: F.size(v) > 0)
 
 
 def important_page_candidates(grouped: Column) -> Column:
     """The grouped links as one list, best page type first, at most ten."""
+
+    def typed(page_type: str) -> Column:
+        links = F.coalesce(grouped[page_type], empty_strings())
+        return F.transform(links, lambda v: F.struct(v.alias("url"), F.lit(page_type).alias("page_type")))
+
     by_rank = sorted(PAGE_TYPE_HINTS, key=lambda t: -PAGE_TYPE_PRIORITY[t])
-    lists = [
-        F.transform(
-            F.coalesce(grouped[t], empty_strings()),
-            lambda v, t=t: F.struct(v.alias("url"), F.lit(t).alias("page_type")),
-        )
-        for t in by_rank
-    ]
-    return F.slice(F.concat(*lists), 1, 10)
+    return F.slice(F.concat(*[typed(t) for t in by_rank]), 1, 10)
 
 
 def extract_social_links(links: Column) -> Column:

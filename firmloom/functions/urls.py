@@ -221,44 +221,74 @@ def _without_dots(segments: Column) -> Column:
     return F.when(ends_open, F.array_append(folded, F.lit(""))).otherwise(folded)
 
 
-def _merge_paths(base_path: Column, path: Column) -> Column:
-    directory = F.regexp_replace(base_path, "[^/]+$", "")
+def _merge_paths(base_directory: Column, path: Column) -> Column:
     # Only inner empty segments of a merged path vanish; the first stays, and so does the last.
-    joined = F.concat(F.when(directory.startswith("/"), directory).otherwise(F.concat(F.lit("/"), directory)), path)
-    merged = F.when(path.startswith("/"), path).otherwise(F.regexp_replace(joined, "/{2,}", "/"))
-    segments = F.split(merged, "/")
-    resolved = F.array_join(_without_dots(segments), "/")
-    has_dots = merged.rlike(r"(^|/)\.{1,2}(/|$)")
-    out = F.when(has_dots, resolved).otherwise(merged)
-    return F.when(out == "", F.lit("/")).otherwise(out)
+    return F.when(path.startswith("/"), path).otherwise(F.regexp_replace(F.concat(base_directory, path), "/{2,}", "/"))
 
 
-def resolve_link(
-    href: Column, base_scheme: Column, base_authority: Column, base_path: Column, base_query: Column
+def resolve_links(
+    hrefs: Column, base_scheme: Column, base_authority: Column, base_path: Column, base_query: Column
 ) -> Column:
-    """Absolute form of ``href`` against the components of a base URL.
+    """Absolute form of every ``href`` against the components of a base URL.
 
     The base comes in parts so that a page splits its own URL once, not once
-    per link.
+    per link.  Links are taken apart, merged and put together in separate
+    transforms, so that each piece is computed once; the common ``/path`` form
+    skips all that.
     """
-    ref = F.translate(F.regexp_replace(href, r"^[\x00-\x20]+", ""), "\t\r\n", "")
-    own_scheme = url_scheme(ref)
-    scheme = F.when(own_scheme == "", base_scheme).otherwise(own_scheme)
-    authority = url_authority(ref)
-    path, query, fragment = url_path(ref), url_query(ref), url_fragment(ref)
-    foreign = (scheme != base_scheme) | ~scheme.isin("", *RELATIVE_SCHEMES)
-    return (
-        F.when(foreign, href)
-        .when(authority != "", build_url(scheme, authority, path, query, fragment))
-        .when(
-            path == "",
-            build_url(scheme, base_authority, base_path, F.when(query == "", base_query).otherwise(query), fragment),
+    directory = F.regexp_replace(base_path, "[^/]*$", "")
+    directory = F.when(directory.startswith("/"), directory).otherwise(F.concat(F.lit("/"), directory))
+    origin = F.concat(base_scheme, F.lit("://"), base_authority)
+    plain = r"^/(?![/?#])(?:[^?#\x00-\x20.]|(?<!/)\.)*+(?:\?[^#\x00-\x20]++)?+(?:#[^\x00-\x20]++)?+\z"
+
+    def split(href: Column) -> Column:
+        ref = F.translate(F.regexp_replace(href, r"^[\x00-\x20]+", ""), "\t\r\n", "")
+        own = url_scheme(ref)
+        return F.struct(
+            href.alias("href"),
+            F.when(own == "", base_scheme).otherwise(own).alias("scheme"),
+            url_authority(ref).alias("authority"),
+            url_path(ref).alias("path"),
+            url_query(ref).alias("query"),
+            url_fragment(ref).alias("fragment"),
         )
-        .otherwise(build_url(scheme, base_authority, _merge_paths(base_path, path), query, fragment))
-    )
+
+    def merge(p: Column) -> Column:
+        own = p["authority"] != ""
+        merged = F.when(own | (p["path"] == ""), p["path"]).otherwise(_merge_paths(directory, p["path"]))
+        return F.struct(*[p[n].alias(n) for n in ("href", "scheme", "authority", "query", "fragment", "path")], merged.alias("merged"))
+
+    def tidy(p: Column) -> Column:
+        dotted = (p["authority"] == "") & p["merged"].rlike(r"(^|/)\.{1,2}(/|$)")
+        path = F.when(dotted, F.array_join(_without_dots(F.split(p["merged"], "/")), "/")).otherwise(p["merged"])
+        return F.struct(*[p[n].alias(n) for n in ("href", "scheme", "authority", "query", "fragment", "path")], path.alias("merged"))
+
+    def join(p: Column) -> Column:
+        own, bare = p["authority"] != "", p["path"] == ""
+        path = (
+            F.when(own, p["path"])
+            .when(bare, base_path)
+            .when(p["merged"] == "", "/")
+            .otherwise(p["merged"])
+        )
+        query = F.when(~own & bare & (p["query"] == ""), base_query).otherwise(p["query"])
+        foreign = (p["scheme"] != base_scheme) | ~p["scheme"].isin("", *RELATIVE_SCHEMES)
+        authority = F.when(own, p["authority"]).otherwise(base_authority)
+        whole = F.transform(
+            F.array(F.struct(authority.alias("a"), path.alias("p"), query.alias("q"))),
+            lambda t: build_url(p["scheme"], t["a"], t["p"], t["q"], p["fragment"]),
+        )
+        return F.when(foreign, p["href"]).otherwise(F.get(whole, F.lit(0)))
+
+    def general(href: Column) -> Column:
+        steps = F.transform(F.transform(F.transform(F.array(href), split), merge), tidy)
+        return F.get(F.transform(steps, join), F.lit(0))
+
+    simple_base = (base_authority != "") & base_scheme.isin("http", "https")
+    return F.transform(hrefs, lambda h: F.when(simple_base & h.rlike(plain), F.concat(origin, h)).otherwise(general(h)))
 
 
 def join_url(base: Column, href: Column) -> Column:
-    """``resolve_link`` for a single pair of columns."""
-    joined = resolve_link(href, url_scheme(base), url_authority(base), url_path(base), url_query(base))
-    return F.when(href == "", base).when(base == "", href).otherwise(joined)
+    """``resolve_links`` for a single pair of columns."""
+    joined = resolve_links(F.array(href), url_scheme(base), url_authority(base), url_path(base), url_query(base))
+    return F.when(href == "", base).when(base == "", href).otherwise(F.get(joined, F.lit(0)))

@@ -130,15 +130,16 @@ def first_per_key(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return picked.select(key, "_row.*").select(*rows.columns)
 
 
-def absent_rows(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+def absent_rows(existing: DataFrame, incoming: DataFrame, key: str | list[str]) -> DataFrame:
     """Rows of ``incoming`` (unique on ``key``) whose key is not in ``existing``.
 
     The large side is only probed for the keys of the batch: when the batch is
     small enough for Spark to broadcast its keys, the existing table is scanned
     (key column only) and not shuffled.
     """
-    hits = existing.select(key).join(incoming.select(key), key, "left_semi")
-    return incoming.join(hits, key, "left_anti")
+    keys = [key] if isinstance(key, str) else key
+    hits = existing.select(*keys).join(incoming.select(*keys), keys, "left_semi")
+    return incoming.join(hits, keys, "left_anti")
 
 
 def insert_if_absent(

@@ -229,7 +229,7 @@ def facts(name_column: str = "company_name", source: str = "fx_results", tag: st
 
 
 _SCALARS = """query_id,
-    arg_max(name, name_score * 100000000 - pos) FILTER (name_score >= 0) AS company_name,
+    arg_max(name, name_score::BIGINT * 100000000 - pos) FILTER (name_score >= 0) AS company_name,
     arg_min(summary, pos) FILTER (official AND summary IS NOT NULL) AS company_summary,
     arg_min(final, pos) FILTER (official) AS official_website, arg_min(domain, pos) FILTER (official AND domain <> '') AS primary_domain,
     arg_min(final, pos) FILTER (official AND page_type = 'about') AS about_page,

@@ -16,7 +16,8 @@ CHUNK_ROWS = 1_000_000
 
 
 def lookup_join(
-    rows: DataFrame, lookup: DataFrame, key: str, spread: Column, hot_rows: int = HOT_KEY_ROWS
+    rows: DataFrame, lookup: DataFrame, key: str, spread: Column, hot_rows: int = HOT_KEY_ROWS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to a lookup with at most one row per ``key``, safe for hot keys.
 
@@ -25,10 +26,12 @@ def lookup_join(
     the key; rows of a hot or null key are spread over ``spread`` instead,
     because they need no partner there.  ``spread`` is a stored column with many
     values (an id), never a random one: a recomputed task must place its rows
-    as before.
+    as before.  ``counts`` (key, count) saves counting when it is known.
     """
     values = [c for c in lookup.columns if c != key]
-    hot_keys = rows.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > hot_rows).select(key)
+    if counts is None:
+        counts = rows.where(F.col(key).isNotNull()).groupBy(key).count()
+    hot_keys = counts.where(F.col("count") > hot_rows).select(key)
     hot = lookup.join(F.broadcast(hot_keys), key, "left_semi").select(
         F.col(key), F.struct(*values).alias("_hot"), F.lit(True).alias("_is_hot")
     )
@@ -74,6 +77,20 @@ def previous_value(
     )
 
 
+def best_before(
+    rows: DataFrame, group: str, position: str, value: str, out: str, chunk_rows: int = CHUNK_ROWS
+) -> DataFrame:
+    """Largest ``value`` among the earlier rows of the group; null for its first row."""
+    chunked = rows.withColumn("_chunk", chunk_of(F.col(position), chunk_rows))
+    tops = chunked.groupBy(group, "_chunk").agg(F.max(value).alias("_top"))
+    across = W.partitionBy(group).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    carried = tops.select(group, "_chunk", F.max("_top").over(across).alias("_carry"))
+    inside = W.partitionBy(group, "_chunk").orderBy(position).rowsBetween(W.unboundedPreceding, -1)
+    local = chunked.withColumn("_local", F.max(value).over(inside))
+    joined = local.join(carried, [group, "_chunk"])
+    return joined.withColumn(out, F.greatest("_local", "_carry")).drop("_chunk", "_carry", "_local")
+
+
 def running_totals(
     rows: DataFrame, group: str, position: str, sums: dict[str, Column], chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:

@@ -8,16 +8,44 @@ the graph, not with its diameter.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from firmloom.session import cut_lineage
-from firmloom.skew import HOT_KEY_ROWS, lookup_join
+from firmloom.skew import HOT_KEY_ROWS
 
 
 def _with_min(edges: DataFrame, hot_rows: int) -> DataFrame:
-    """Add ``m``, the smallest neighbour of ``u``.  One aggregate, one lookup that is safe for hubs."""
-    mins = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("count"))
-    return lookup_join(edges, mins.select("u", "m"), "u", F.col("v"), hot_rows, mins.select("u", "count"))
+    """Add ``m``, the smallest neighbour of ``u``.
+
+    Hubs with more than ``hot_rows`` edges, of which there are at most
+    ``count(edges) / hot_rows``, get it by broadcast; the others by a shuffle
+    in which no key is hot.
+    """
+    mins = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_degree"))
+    hubs = F.broadcast(mins.where(F.col("_degree") > hot_rows).select("u", "m"))
+    rest = edges.join(hubs.select("u"), "u", "left_anti").join(mins.select("u", "m"), "u")
+    return rest.unionByName(edges.join(hubs, "u"))
+
+
+def _contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Edges of one partition, each node tied to the smallest node it reaches inside that partition."""
+    parent: dict = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for batch in batches:
+        for u, v in zip(batch["u"].tolist(), batch["v"].tolist()):
+            a, b = root(u), root(v)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    ties = [(x, root(x)) for x in list(parent) if root(x) != x]
+    yield pd.DataFrame(ties, columns=["u", "v"])
 
 
 def _large_star(edges: DataFrame, hot_rows: int) -> DataFrame:
@@ -41,7 +69,9 @@ def connected_components(pairs: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> Data
     distinct = cut_lineage(pairs.select("a", "b").distinct())
     nodes = distinct.select(F.explode(F.array("a", "b")).alias("node")).where(F.col("node").isNotNull()).distinct()
     linked = distinct.where(F.col("b").isNotNull() & (F.col("a") != F.col("b")))
-    edges = linked.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    edges = linked.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    # Partitions first shrink by themselves; the rounds join what is left.
+    edges = edges.mapInPandas(_contract, edges.schema)
     before = None
     while True:
         edges = cut_lineage(_small_star(_large_star(edges, hot_rows), hot_rows))

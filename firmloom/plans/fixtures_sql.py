@@ -245,4 +245,7 @@ def with_ctes(names, body: str) -> str:
     body = body.strip()
     if not parts:
         return body
-    return f"WITH {parts}, {body[4:]}" if body.startswith("WITH") else f"WITH {parts} {body}"
+    for opening in ("WITH RECURSIVE ", "WITH "):
+        if body.startswith(opening):
+            return f"{opening}{parts}, {body[len(opening):]}"
+    return f"WITH {parts} {body}"

@@ -60,6 +60,11 @@ def _small_star(edges: DataFrame, hot_rows: int) -> DataFrame:
     return moved.where(F.col("u") != F.col("v")).distinct()
 
 
+def _fingerprint(edges: DataFrame) -> tuple:
+    """Count and hash sum: all that reaches the driver per round, whatever the size of the graph."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
 def connected_components(pairs: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """(node, component) for an edge list with columns ``a`` and ``b`` (null ``b``: a lone node).
 
@@ -71,14 +76,14 @@ def connected_components(pairs: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> Data
     linked = distinct.where(F.col("b").isNotNull() & (F.col("a") != F.col("b")))
     edges = linked.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     # Partitions first shrink by themselves; the rounds join what is left.
-    edges = edges.mapInPandas(_contract, edges.schema)
-    before = None
-    while True:
-        edges = cut_lineage(_small_star(_large_star(edges, hot_rows), hot_rows))
-        # Two numbers per round reach the driver, whatever the size of the graph.
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
+    edges = cut_lineage(edges.mapInPandas(_contract, edges.schema))
+    if edges.rdd.getNumPartitions() > 1:
+        before = _fingerprint(edges)
+        while True:
+            edges = cut_lineage(_small_star(_large_star(edges, hot_rows), hot_rows))
+            now = _fingerprint(edges)
+            if now == before:
+                break
+            before = now
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.join(roots, "node", "left").select("node", F.coalesce("component", "node").alias("component"))

@@ -20,6 +20,7 @@ from firmloom.functions.text import (
     contains_any,
     empty_strings,
     ends_stripped,
+    let,
     strip_chars,
     unique_nonempty,
 )
@@ -31,13 +32,18 @@ def find_all(text: Column, pattern: str, group: int = 0) -> Column:
     return F.coalesce(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), empty_strings())
 
 
+def find_emails(text: Column) -> Column:
+    """Every address-like match; texts without an ``@`` are not scanned."""
+    return F.when(text.contains("@"), find_all(text, EMAIL_PATTERN)).otherwise(empty_strings())
+
+
 def _or_empty(values: Column | None) -> Column:
     return empty_strings() if values is None else F.coalesce(values, empty_strings())
 
 
 def extract_emails(text: Column, direct: Column | None = None) -> Column:
     """Direct addresses first, then those found in the text; lower case, checked, distinct."""
-    candidates = F.concat(_or_empty(direct), find_all(text, EMAIL_PATTERN))
+    candidates = F.concat(_or_empty(direct), find_emails(text))
     cleaned = F.transform(candidates, lambda c: strip_chars(F.lower(clean_text(c)), " .,:;"))
     return F.array_distinct(
         F.filter(cleaned, lambda e: F.coalesce(e.rlike(STRICT_EMAIL_PATTERN) & ~e.contains(".."), F.lit(False)))
@@ -51,26 +57,27 @@ def normalize_phone_candidate(value: Column) -> Column:
 
 
 def is_valid_phone_candidate(value: Column) -> Column:
-    groups = F.regexp_extract_all(value, F.lit(r"(?U)\d+"), F.lit(0))
-    digits = F.array_join(groups, "")
-    all_equal = F.regexp_replace(digits, F.substring(digits, 1, 1), "") == ""
-    in_years = F.forall(groups, lambda g: F.coalesce(g.try_cast("bigint").between(1900, 2099), F.lit(False)))
-    year_like = (
-        (F.size(groups) >= 2)
-        & (F.length(F.get(groups, F.lit(0))) == 4)
-        & (F.length(F.get(groups, F.lit(1))) == 4)
-        & in_years
-    )
-    return F.coalesce(
-        ~value.rlike("[A-Za-z.]")
-        & F.length(digits).between(8, 15)
-        & (F.size(groups) < 5)
-        & ~all_equal
-        & ~value.rlike(r"(?U)^(?:\d\s+){4,}\d\z")
-        & ~value.rlike(r"(?U)\b(?:19|20)\d{2}\s*-\s*(?:19|20)\d{2}\b")
-        & ~year_like,
-        F.lit(False),
-    )
+    def judged(groups: Column) -> Column:
+        digits = F.array_join(groups, "")
+        all_equal = F.regexp_replace(digits, F.substring(digits, 1, 1), "") == ""
+        in_years = F.forall(groups, lambda g: F.coalesce(g.try_cast("bigint").between(1900, 2099), F.lit(False)))
+        year_like = (
+            (F.size(groups) >= 2)
+            & (F.length(F.get(groups, F.lit(0))) == 4)
+            & (F.length(F.get(groups, F.lit(1))) == 4)
+            & in_years
+        )
+        return (
+            (F.size(groups) < 5)
+            & F.length(digits).between(8, 15)
+            & ~all_equal
+            & ~year_like
+            & ~value.rlike("[A-Za-z.]")
+            & ~value.rlike(r"(?U)^(?:\d\s+){4,}\d\z")
+            & ~value.rlike(r"(?U)\b(?:19|20)\d{2}\s*-\s*(?:19|20)\d{2}\b")
+        )
+
+    return F.coalesce(let(F.regexp_extract_all(value, F.lit(r"(?U)\d+"), F.lit(0)), judged), F.lit(False))
 
 
 def format_phone_candidate(value: Column) -> Column:
@@ -81,8 +88,12 @@ def format_phone_candidate(value: Column) -> Column:
 
 
 def labeled_phone_candidates(text: Column) -> Column:
-    """Numbers written after a phone-like label."""
-    return F.concat(*[find_all(text, p, 1) for p in LABELED_PHONE_PATTERNS])
+    """Numbers written after a phone-like label.
+
+    The labels are only searched in texts that hold such a number at all.
+    """
+    labeled = F.concat(*[find_all(text, p, 1) for p in LABELED_PHONE_PATTERNS])
+    return F.when(text.rlike(TEXT_PHONE_PATTERN), labeled).otherwise(empty_strings())
 
 
 def _accepted_phones(candidates: Column) -> Column:
@@ -97,22 +108,26 @@ def extract_phones(text: Column, tel_links: Column | None = None, blocks: Column
         F.transform(_or_empty(blocks), lambda b: F.concat(labeled_phone_candidates(b), find_all(b, TEXT_PHONE_PATTERN)))
     )
     primary = _accepted_phones(F.concat(tels, block_hits))
-    chosen = F.when(F.size(primary) > 0, primary).otherwise(_accepted_phones(labeled_phone_candidates(text)))
+    chosen = let(
+        primary,
+        lambda found: F.when(F.size(found) > 0, found).otherwise(_accepted_phones(labeled_phone_candidates(text))),
+    )
     return unique_nonempty(chosen)
 
 
 def is_plausible_location(value: Column) -> Column:
-    cleaned = clean_text(value)
-    commas = F.length(cleaned) - F.length(F.replace(cleaned, F.lit(","), F.lit("")))
-    return F.coalesce(
-        F.length(cleaned).between(6, 140)
-        & ~cleaned.rlike(r"(?U)^[\d\s,.\-]+$")
-        & (commas <= 6)
-        & ~((commas == 0) & (F.length(cleaned) > 50))
-        & ~contains_any(F.lower(cleaned), NON_LOCATION_WORDS)
-        & cleaned.rlike("[A-Za-z]"),
-        F.lit(False),
-    )
+    def judged(cleaned: Column) -> Column:
+        commas = F.length(cleaned) - F.length(F.replace(cleaned, F.lit(","), F.lit("")))
+        return (
+            F.length(cleaned).between(6, 140)
+            & ~cleaned.rlike(r"(?U)^[\d\s,.\-]+$")
+            & (commas <= 6)
+            & ~((commas == 0) & (F.length(cleaned) > 50))
+            & ~contains_any(F.lower(cleaned), NON_LOCATION_WORDS)
+            & cleaned.rlike("[A-Za-z]")
+        )
+
+    return F.coalesce(let(clean_text(value), judged), F.lit(False))
 
 
 def extract_location_mentions(text: Column, structured: Column | None = None) -> Column:
@@ -123,20 +138,25 @@ def extract_location_mentions(text: Column, structured: Column | None = None) ->
 
 
 def is_valid_social_profile(link: Column) -> Column:
-    domain = F.lower(url_authority(link))
-    path = url_path(link)
-    segments = F.filter(F.split(path, "/"), lambda s: s != "")
-    first, second = F.get(segments, F.lit(0)), F.get(segments, F.lit(1))
-    named = (F.size(segments) >= 1) & ~F.lower(first).isin(*GENERIC_SOCIAL_PATHS)
-    verdict = (
-        F.when(
-            domain.contains("linkedin.com"),
-            (F.size(segments) >= 2) & first.isin("company", "in", "school") & ~second.isin(*GENERIC_SOCIAL_PATHS),
+    def judged(p: Column) -> Column:
+        domain, path, segments = p["domain"], p["path"], p["segments"]
+        first, second = F.get(segments, F.lit(0)), F.get(segments, F.lit(1))
+        named = (F.size(segments) >= 1) & ~F.lower(first).isin(*GENERIC_SOCIAL_PATHS)
+        on_linkedin = (
+            (F.size(segments) >= 2) & first.isin("company", "in", "school") & ~second.isin(*GENERIC_SOCIAL_PATHS)
+        )
+        return (
+            F.when(domain.contains("linkedin.com"), on_linkedin)
+            .when(domain.contains("youtube.com"), path.startswith("/@") | first.isin("channel", "c", "user"))
+            .when(contains_any(domain, ("facebook.com", "instagram.com", "x.com", "twitter.com", "tiktok.com")), named)
         )
-        .when(domain.contains("youtube.com"), path.startswith("/@") | first.isin("channel", "c", "user"))
-        .when(contains_any(domain, ("facebook.com", "instagram.com", "x.com", "twitter.com", "tiktok.com")), named)
+
+    path = url_path(link)
+    parts = F.struct(
+        F.lower(url_authority(link)).alias("domain"), path.alias("path"),
+        F.filter(F.split(path, "/"), lambda s: s != "").alias("segments"),
     )
-    return F.coalesce(verdict, F.lit(False))
+    return F.coalesce(let(parts, judged), F.lit(False))
 
 
 def clean_social_profiles(links: Column) -> Column:

@@ -9,7 +9,6 @@ from pyspark.sql import Column, functions as F
 from firmloom.functions.constants import (
     ADDRESS_PATTERN,
     COMPANY_NODE_TYPES,
-    EMAIL_PATTERN,
     JSON_LD_PATTERN,
     META_DESCRIPTION_PATTERN,
     PAGE_PHONE_PATTERN,
@@ -18,7 +17,7 @@ from firmloom.functions.constants import (
     PAGE_TYPE_PRIORITY,
     TITLE_PATTERN,
 )
-from firmloom.functions.contacts import find_all
+from firmloom.functions.contacts import find_all, find_emails
 from firmloom.functions.text import (
     clean_text,
     contains_any,
@@ -114,7 +113,7 @@ def page_links(hrefs: Column) -> Column:
 
 def page_emails(html: Column, mailtos: Column) -> Column:
     """Distinct addresses of the markup and the mail links, sorted, case kept."""
-    return sorted_distinct(F.concat(find_all(html, EMAIL_PATTERN), mailtos))
+    return sorted_distinct(F.concat(find_emails(html), mailtos))
 
 
 def clean_phone(value: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from firmloom.functions.constants import GENERIC_COMPANY_NAMES, GENERIC_NAME_PHRASES, GENERIC_NAME_PREFIXES
-from firmloom.functions.text import clean_text, contains_any, strip_chars, word_count
+from firmloom.functions.text import clean_text, contains_any, let, strip_chars
 
 _EDGE = " |:-"
 
@@ -15,9 +15,13 @@ def normalize_company_name(candidate: Column) -> Column:
     name = strip_chars(clean_text(candidate), _EDGE)
     name = strip_chars(F.regexp_replace(name, r"(?iU)\bOfficial Website\b", ""), _EDGE)
     name = strip_chars(F.regexp_replace(name, r"(?iU)\bHome Page\b", ""), _EDGE)
-    shortened = strip_chars(F.substring(name, F.lit(1), F.length(name) - 10), _EDGE)
-    name = F.when(F.lower(name).endswith(" corporate"), shortened).otherwise(name)
-    return F.nullif(name, F.lit(""))
+
+    def finish(n: Column) -> Column:
+        shortened = strip_chars(F.substring(n, F.lit(1), F.length(n) - 10), _EDGE)
+        whole = F.when(F.lower(n).endswith(" corporate"), shortened).otherwise(n)
+        return F.when(whole != "", whole)
+
+    return let(name, finish)
 
 
 def title_name_candidates(title: Column) -> Column:
@@ -30,7 +34,7 @@ def title_name_candidates(title: Column) -> Column:
 def is_strong_normalized_name(name: Column) -> Column:
     """The strength rules, for a name that is already normalised."""
     lowered = F.lower(name)
-    shouting = (word_count(name) >= 4) & (name == F.upper(name))
+    shouting = (F.size(F.split(name, " ")) >= 4) & (name == F.upper(name))
     prefixed = lowered.rlike("^(?:" + "|".join(GENERIC_NAME_PREFIXES) + ")")
     return F.coalesce(
         ~lowered.isin(*GENERIC_COMPANY_NAMES)
@@ -43,7 +47,7 @@ def is_strong_normalized_name(name: Column) -> Column:
 
 
 def is_strong_company_name(candidate: Column) -> Column:
-    return is_strong_normalized_name(normalize_company_name(candidate))
+    return let(normalize_company_name(candidate), is_strong_normalized_name)
 
 
 def pick_company_name(candidates: Column) -> Column:
@@ -54,8 +58,7 @@ def pick_company_name(candidates: Column) -> Column:
 
 
 def pick_company_summary(summary: Column) -> Column:
-    cleaned = clean_text(summary)
-    return F.when(F.length(cleaned) >= 40, F.left(cleaned, F.lit(400)))
+    return let(clean_text(summary), lambda c: F.when(F.length(c) >= 40, F.left(c, F.lit(400))))
 
 
 def pick_best_description(candidates: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from firmloom.functions.constants import BOOKING_NOISE, ORG_HINTS
-from firmloom.functions.text import contains_any, nonempty, strip_chars, word_count
+from firmloom.functions.text import contains_any, empty_strings, let, nonempty, strip_chars, word_count
 
 _EDGE = " ,;:-"
 _MARKER = r"(?U)(?:^|\s)\d+\)\s*"
@@ -22,20 +22,21 @@ def normalize_segment(value: Column) -> Column:
 
 def split_numbered_companies(raw: Column) -> Column:
     """``1) A 2) B`` gives [A, B]; anything with fewer than two markers stays whole."""
+
+    def listed(pieces: Column) -> Column:
+        return F.filter(F.transform(F.slice(pieces, 2, F.size(pieces)), normalize_segment), nonempty)
+
     markers = F.size(F.regexp_extract_all(raw, F.lit(_MARKER), F.lit(0)))
-    pieces = F.split(raw, _MARKER)
-    listed = F.filter(
-        F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), normalize_segment), nonempty
-    )
-    return F.when((markers >= 2) & (F.size(listed) > 0), listed).otherwise(F.array(raw))
+    found = F.when(markers >= 2, let(F.split(raw, _MARKER), listed)).otherwise(empty_strings())
+    return let(found, lambda parts: F.when(F.size(parts) > 0, parts).otherwise(F.array(raw)))
 
 
 def split_candidate_segments(raw: Column) -> Column:
     """Numbered parts, each split further on comma, semicolon and line break."""
 
     def parts_of(numbered: Column) -> Column:
-        parts = F.filter(F.transform(F.split(numbered, r"[,\n;]+"), normalize_segment), nonempty)
-        return F.when(F.size(parts) > 0, parts).otherwise(F.array(normalize_segment(numbered)))
+        pieces = F.filter(F.transform(F.split(numbered, r"[,\n;]+"), normalize_segment), nonempty)
+        return let(pieces, lambda p: F.when(F.size(p) > 0, p).otherwise(F.array(normalize_segment(numbered))))
 
     return F.filter(F.flatten(F.transform(split_numbered_companies(raw), parts_of)), nonempty)
 

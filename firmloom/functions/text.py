@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, functions as F
 
 WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, also inside array lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def clean_text(value: Column) -> Column:
     """Collapse whitespace, strip, and turn the empty string into null."""
     return F.nullif(F.trim(F.regexp_replace(value, WHITESPACE_RUN, " ")), F.lit(""))

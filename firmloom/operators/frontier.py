@@ -28,6 +28,7 @@ from firmloom.functions.urls import (
     url_query,
     url_scheme,
 )
+from firmloom.session import cut_lineage
 from firmloom.skew import lookup_join, number_rows
 
 FRONTIER_ROW = ("id", "canonical_url", "host", "render_mode", "depth", "priority", "source_type")
@@ -151,8 +152,9 @@ def insert_if_absent(
     the largest existing one, in arrival order.  The count of the second frame
     is the number inserted.
     """
-    firsts = first_per_key(rows, "url_hash", [position, *ties])
-    fresh = absent_rows(frontier, firsts, "url_hash")
+    # Both frames are read twice below: the batch must be made, and the frontier probed, only once.
+    firsts = cut_lineage(first_per_key(rows, "url_hash", [position, *ties]))
+    fresh = cut_lineage(absent_rows(frontier, firsts, "url_hash"))
     top = frontier.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top"))
     numbered = number_rows(fresh, position, ties, "_number").crossJoin(F.broadcast(top))
     numbered = numbered.withColumn("id", F.col("_top") + F.col("_number"))

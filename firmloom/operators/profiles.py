@@ -54,7 +54,7 @@ def name_score(final_url: Column, name: Column, title: Column) -> Column:
         + F.when(contains_any(name, ("&", ".", "-")), 3).otherwise(0)
     )
     usable = is_likely_official_url(final_url) & is_strong_company_name(name)
-    return F.when(F.coalesce(usable, F.lit(False)), score).otherwise(-1)
+    return F.when(usable, score).otherwise(-1)
 
 
 def with_page_facts(results: DataFrame) -> DataFrame:

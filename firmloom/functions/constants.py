@@ -89,9 +89,10 @@ GENERIC_SOCIAL_PATHS = (
 SOCIAL_ACTION_FRAGMENTS = ("/share", "/intent/", "/sharer", "/search?", "/hashtag/")
 STRICT_EMAIL_PATTERN = r"^[a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z]{2,}$"
 TEXT_PHONE_PATTERN = r"(?U)\+?\d[\d\-\s()]{6,}\d"
+# The look-ahead on the first letter changes no match; it spares most positions the alternatives.
 LABELED_PHONE_PATTERNS = (
-    r"(?iU)(?:phone|tel|telephone|mobile|call us|contact)\s*[:\-]?\s*(\+?\d[\d\-\s()]{6,}\d)",
-    r"(?iU)(?:board|switchboard|helpline|hotline)\s*[:\-]?\s*(\+?\d[\d\-\s()]{6,}\d)",
+    r"(?iU)(?=[ptmc])(?:phone|tel|telephone|mobile|call us|contact)\s*[:\-]?\s*(\+?\d[\d\-\s()]{6,}\d)",
+    r"(?iU)(?=[bsh])(?:board|switchboard|helpline|hotline)\s*[:\-]?\s*(\+?\d[\d\-\s()]{6,}\d)",
 )
 LOCATION_PATTERNS = (
     r"(?iU)\bheadquarters(?:ed)?\s+(?:in|at)\s+([A-Z][A-Za-z0-9&.,\-\s]{2,80})",

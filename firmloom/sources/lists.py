@@ -39,12 +39,13 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType = schemas.
     """(good records, undecodable lines) of JSON lines; a missing path has neither."""
     marked = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     try:
-        raw = spark.read.schema(marked).option("columnNameOfCorruptRecord", "_corrupt").json(path)
+        lines = spark.read.text(path).where(F.trim("value") != "")
     except AnalysisException as problem:
         if "PATH_NOT_FOUND" not in (problem.getCondition() or ""):
             raise
-        raw = spark.createDataFrame([], marked)
-    return raw.where(F.col("_corrupt").isNull()).drop("_corrupt"), raw.where(F.col("_corrupt").isNotNull()).select("_corrupt")
+        lines = spark.createDataFrame([], "value string")
+    read = lines.select(F.from_json("value", marked, {"columnNameOfCorruptRecord": "_corrupt"}).alias("r")).select("r.*")
+    return read.where(F.col("_corrupt").isNull()).drop("_corrupt"), read.where(F.col("_corrupt").isNotNull()).select("_corrupt")
 
 
 def completed_ids(records: DataFrame, only_ok: bool = False) -> DataFrame:

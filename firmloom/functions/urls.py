@@ -13,8 +13,10 @@ from firmloom.functions.constants import (
     RELATIVE_SCHEMES,
     TRACKING_PARAMS,
 )
-from firmloom.functions.text import contains_any, ends_stripped
+from firmloom.functions.text import contains_any, ends_stripped, let
 
+_CONTROLS = "".join(map(chr, range(0x21)))
+_BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 _AUTHORITY = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 _PATH = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
@@ -24,8 +26,8 @@ _FRAGMENT = r"^[^#]*#(.*)"
 
 def tidy_url(url: Column) -> Column:
     """Drop surrounding blanks and control characters, and line breaks inside."""
-    edges = F.regexp_replace(url, r"(?U)^[\s\x00-\x20]+|[\s\x1c-\x1f]+\z", "")
-    return F.translate(edges, "\t\r\n", "")
+    bare = F.rtrim(F.ltrim(url, F.lit(_CONTROLS + _BLANKS)), F.lit(_BLANKS))
+    return F.translate(bare, "\t\r\n", "")
 
 
 def url_scheme(url: Column) -> Column:
@@ -98,21 +100,23 @@ def build_url(scheme: Column, authority: Column, path: Column, query: Column, fr
 
 def canonicalize_url(url: Column, tracking: Sequence[str] = TRACKING_PARAMS) -> Column:
     """One spelling per page: lower scheme and host, sorted query, no tracking, no fragment."""
-    tidy = tidy_url(url)
-    scheme = url_scheme(tidy)
-    raw_path = url_path(tidy)
-    path = F.when(raw_path.isin("", "/"), F.lit("/")).otherwise(ends_stripped(raw_path, "/"))
     dropped = F.array(*[F.lit(p) for p in tracking])
-    pairs = F.filter(
-        _query_pairs(url_query(tidy), keep_blank=False),
-        lambda p: ~F.array_contains(dropped, F.lower(p["k"])),
-    )
-    return build_url(
-        F.when(scheme == "", F.lit("https")).otherwise(scheme),
-        F.lower(url_authority(tidy)),
-        path,
-        _join_pairs(F.array_sort(pairs)),
-    )
+
+    def parts(tidy: Column) -> Column:
+        path = url_path(tidy)
+        pairs = F.filter(
+            _query_pairs(url_query(tidy), keep_blank=False),
+            lambda p: ~F.array_contains(dropped, F.lower(p["k"])),
+        )
+        return F.struct(
+            F.coalesce(F.nullif(url_scheme(tidy), F.lit("")), F.lit("https")).alias("scheme"),
+            F.lower(url_authority(tidy)).alias("authority"),
+            F.when(path.isin("", "/"), F.lit("/")).otherwise(ends_stripped(path, "/")).alias("path"),
+            _join_pairs(F.array_sort(pairs)).alias("query"),
+        )
+
+    # Each step reads the one before by name, so no regex runs twice on a URL.
+    return let(let(tidy_url(url), parts), lambda p: build_url(p["scheme"], p["authority"], p["path"], p["query"]))
 
 
 def rooted_canonical(canonical: Column) -> Column:
@@ -142,15 +146,21 @@ def guess_etld1(host: Column) -> Column:
 
 def normalize_result_url(url: Column) -> Column:
     """Search-result URL without fragment; blanks and order of the query are kept."""
+
+    def parts(tidy: Column) -> Column:
+        authority = url_authority(tidy)
+        on_youtube, on_ford = authority.contains("youtube.com"), authority.contains("ford.com")
+        pairs = F.filter(
+            _query_pairs(url_query(tidy), keep_blank=True),
+            lambda p: ~((on_youtube & (p["k"] == "t")) | (on_ford & (p["k"] == "srsltid"))),
+        )
+        return F.struct(
+            url_scheme(tidy).alias("scheme"), authority.alias("authority"), url_path(tidy).alias("path"),
+            _join_pairs(pairs).alias("query"),
+        )
+
     tidy = F.translate(F.regexp_replace(url, r"^[\x00-\x20]+", ""), "\t\r\n", "")
-    authority = url_authority(tidy)
-    on_youtube = authority.contains("youtube.com")
-    on_ford = authority.contains("ford.com")
-    pairs = F.filter(
-        _query_pairs(url_query(tidy), keep_blank=True),
-        lambda p: ~((on_youtube & (p["k"] == "t")) | (on_ford & (p["k"] == "srsltid"))),
-    )
-    return build_url(url_scheme(tidy), authority, url_path(tidy), _join_pairs(pairs))
+    return let(let(tidy, parts), lambda p: build_url(p["scheme"], p["authority"], p["path"], p["query"]))
 
 
 def extract_unique_urls(hrefs: Column, blocked_prefixes: Sequence[str]) -> Column:
@@ -274,15 +284,14 @@ def resolve_links(
         query = F.when(~own & bare & (p["query"] == ""), base_query).otherwise(p["query"])
         foreign = (p["scheme"] != base_scheme) | ~p["scheme"].isin("", *RELATIVE_SCHEMES)
         authority = F.when(own, p["authority"]).otherwise(base_authority)
-        whole = F.transform(
-            F.array(F.struct(authority.alias("a"), path.alias("p"), query.alias("q"))),
+        whole = let(
+            F.struct(authority.alias("a"), path.alias("p"), query.alias("q")),
             lambda t: build_url(p["scheme"], t["a"], t["p"], t["q"], p["fragment"]),
         )
-        return F.when(foreign, p["href"]).otherwise(F.get(whole, F.lit(0)))
+        return F.when(foreign, p["href"]).otherwise(whole)
 
     def general(href: Column) -> Column:
-        steps = F.transform(F.transform(F.transform(F.array(href), split), merge), tidy)
-        return F.get(F.transform(steps, join), F.lit(0))
+        return let(let(let(let(href, split), merge), tidy), join)
 
     simple_base = (base_authority != "") & base_scheme.isin("http", "https")
     return F.transform(hrefs, lambda h: F.when(simple_base & h.rlike(plain), F.concat(origin, h)).otherwise(general(h)))

@@ -235,12 +235,17 @@ def lease_specific_urls(
     return _update_by_id(frontier, leased.select("id"), changes, broadcast=False), leased
 
 
-def domain_budgets(hosts: DataFrame, domain_state: DataFrame) -> DataFrame:
-    """Fetch policy of every distinct host, with defaults where the host has no row."""
+def domain_budgets(hosts: DataFrame, domain_state: DataFrame, bounded: bool = False) -> DataFrame:
+    """Fetch policy of every distinct host, with defaults where the host has no row.
+
+    ``bounded``: the hosts are few by construction (a batch), so the policy
+    table is scanned against a broadcast of them and never shuffled.
+    """
     names = list(schemas.UNKNOWN_HOST_BUDGET)
     distinct = hosts.select("host").distinct()
-    known = domain_state.join(distinct, "host", "left_semi").select("host", *names, F.lit(True).alias("_known"))
-    joined = distinct.join(known, "host", "left")
+    few = F.broadcast(distinct) if bounded else distinct
+    known = domain_state.join(few, "host", "left_semi").select("host", *names, F.lit(True).alias("_known"))
+    joined = distinct.join(F.broadcast(known) if bounded else known, "host", "left")
 
     def policy(name: str) -> Column:
         stored = F.coalesce(F.col(name), F.lit(schemas.DOMAIN_STATE_DEFAULTS[name]))
@@ -266,9 +271,9 @@ def schedule_decisions(
     At most ``5 * limit`` rows leave the first step, so both ranks below and
     the broadcasts are bounded by an argument, not by the data.
     """
-    candidates = ready_candidates(frontier, limit * 5, now, render_mode)
-    hosts = F.broadcast(candidates.select("host").distinct())
-    budgets = domain_budgets(hosts, domain_state)
+    # Kept, so that the frontier is scanned once although the candidates are read twice.
+    candidates = cut_lineage(ready_candidates(frontier, limit * 5, now, render_mode))
+    budgets = domain_budgets(candidates, domain_state, bounded=True)
     joined = candidates.join(F.broadcast(budgets), "host", "left")
     browser = needs_browser(F.col("preferred_render_mode"), F.col("challenge_rate"), F.col("ban_score"))
     marked = joined.withColumn("_promote", browser & (F.col("render_mode") != "browser"))

@@ -212,6 +212,18 @@ def _fold_in_slices(rows: DataFrame, seeds: DataFrame, max_rows: int) -> DataFra
     return done if done is not None else rows.select("id", F.col("id").alias("rank")).limit(0)
 
 
+def reachable_companies(narrow: DataFrame, companies: DataFrame) -> DataFrame:
+    """Companies that have a domain or name of the batch; no other can be found or changed by it."""
+
+    def tagged(*columns: str) -> Column:
+        return F.explode(F.array(*[F.concat(F.lit("d:" if "domain" in c else "n:"), c) for c in columns]))
+
+    keys = narrow.select(tagged("domain", "name", "fallback").alias("_key")).where("_key is not null").distinct()
+    held = companies.select("id", tagged("primary_domain", "canonical_name").alias("_key"))
+    hits = held.join(keys, "_key", "left_semi").select("id").distinct()
+    return companies.join(hits, "id", "left_semi")
+
+
 def assign_companies(
     observations: DataFrame, companies: DataFrame | None = None, max_fold_rows: int = MAX_FOLD_ROWS,
     hot_rows: int = HOT_KEY_ROWS,
@@ -237,7 +249,7 @@ def assign_companies(
     pairs = narrow.select(F.col("_a").alias("a"), F.col("_b").alias("b"))
     seeds = None
     if companies is not None:
-        seeds = companies.select(
+        seeds = reachable_companies(narrow, companies).select(
             F.lit(0).alias("kind"), "id", F.col("primary_domain").alias("domain"), F.col("canonical_name").alias("name"),
             F.col("canonical_name").alias("fallback"),
             F.coalesce("confidence_details.weighted_confidence", F.lit(0.0)).alias("weight"),

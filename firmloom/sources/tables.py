@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from firmloom import schemas
 from firmloom.functions.urls import hash_url
 
-_MANIFEST = "version long, tag string"
+_MANIFEST = "version long, tag string, whole boolean"
 
 
 # --- versioned tables --------------------------------------------------------
@@ -24,36 +24,52 @@ def _versions(spark: SparkSession, root: str) -> DataFrame:
 
 
 def current_version(spark: SparkSession, root: str) -> int:
-    """Number of the published snapshot, 0 if there is none."""
+    """Number of the last published version, 0 if there is none."""
     return _versions(spark, root).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
 
 
 def read_snapshot(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    version = current_version(spark, root)
-    if version == 0:
+    """The table as of its last version: the last whole snapshot and what was appended since."""
+    # One manifest row per version since the last whole snapshot reaches the driver.
+    manifest = _versions(spark, root)
+    last = manifest.where("whole").agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+    live = [r.version for r in manifest.where(F.col("version") >= last).select("version").distinct().collect()]
+    if not live:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root}/v={version}")
+    return spark.read.schema(schema).parquet(*[f"{root}/v={v}" for v in sorted(live)])
 
 
 def was_published(spark: SparkSession, root: str, tag: str) -> bool:
     return not _versions(spark, root).where(F.col("tag") == tag).isEmpty()
 
 
-def write_snapshot(df: DataFrame, root: str, tag: str = "", partition_by: Sequence[str] = ()) -> int:
-    """Write the next version beside the current one, then publish its number.
+def _publish(df: DataFrame, root: str, tag: str, whole: bool) -> int:
+    spark = df.sparkSession
+    if tag and was_published(spark, root, tag):
+        return current_version(spark, root)
+    version = current_version(spark, root) + 1
+    df.write.mode("overwrite").parquet(f"{root}/v={version}")
+    spark.createDataFrame([(version, tag, whole)], _MANIFEST).coalesce(1).write.mode("append").json(f"{root}/versions")
+    return version
+
+
+def write_snapshot(df: DataFrame, root: str, tag: str = "") -> int:
+    """Write the whole table as the next version, then publish its number.
 
     The path being read is never overwritten, so ``df`` may come from it.  A
     version that was written but not published is written again.  A non-empty
     ``tag`` that was published before makes this a no-op: replayed batches
     change nothing.
     """
-    spark = df.sparkSession
-    if tag and was_published(spark, root, tag):
-        return current_version(spark, root)
-    version = current_version(spark, root) + 1
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root}/v={version}")
-    spark.createDataFrame([(version, tag)], _MANIFEST).coalesce(1).write.mode("append").json(f"{root}/versions")
-    return version
+    return _publish(df, root, tag, True)
+
+
+def append_snapshot(rows: DataFrame, root: str, tag: str = "") -> int:
+    """Publish a version that only adds ``rows``; costs the batch, not the table.
+
+    ``write_snapshot(read_snapshot(...))`` folds the additions together again.
+    """
+    return _publish(rows, root, tag, False)
 
 
 def save_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, path: str | None = None) -> None:

@@ -101,8 +101,8 @@ def resolve_batch(documents: DataFrame, batch_id: int, store: Store, now: Column
     if not TB.was_published(spark, store.path("urls"), tag):
         pages = documents.select("frontier_id", "depth", F.col("parsed.discovered_links").alias("links"))
         links = FR.explode_links(pages, "links", "frontier_id")
-        updated, _ = FR.add_discovered_urls(frontier, links, now)
-        TB.write_snapshot(updated, store.path("urls"), tag)
+        _, new = FR.add_discovered_urls(frontier, links, now)
+        TB.append_snapshot(new, store.path("urls"), tag)
     flat = documents.select("frontier_id", "host", "final_url", "parsed.observation.*", "parsed.metadata")
     evidence = flat.select(
         F.concat("host", F.lit("/"), F.col("frontier_id").cast("string"), F.lit(".json")).alias("evidence_object_key"),
@@ -119,7 +119,7 @@ def resolve_batch(documents: DataFrame, batch_id: int, store: Store, now: Column
         rows = R.observation_rows(numbered.withColumn("id", F.col("_top") + F.col("_n")), "final_url", key)
         shaped = rows.withColumns({"observed_at": now, "batch_id": F.lit(batch_id).cast("bigint")})
         names = _observed_schema().names
-        TB.write_snapshot(old.unionByName(shaped.select(*names)), observed_root, tag)
+        TB.append_snapshot(shaped.select(*names), observed_root, tag)
     batch = TB.read_snapshot(spark, observed_root, _observed_schema()).where(F.col("batch_id") == batch_id).drop("batch_id")
     companies_root, links_root = store.path("companies"), store.path("company_observation_links")
     companies = TB.read_snapshot(spark, companies_root, _company_schema())
@@ -129,8 +129,7 @@ def resolve_batch(documents: DataFrame, batch_id: int, store: Store, now: Column
         if not TB.was_published(spark, companies_root, tag):
             TB.write_snapshot(done.companies.select(*_company_schema().names), companies_root, tag)
             done.values.write.mode("overwrite").parquet(f"{store.path('company_values')}/batch={batch_id}")
-        new_links = done.links.select(*_link_schema().names)
-        TB.write_snapshot(known.unionByName(new_links), links_root, tag)
+        TB.append_snapshot(done.links.select(*_link_schema().names), links_root, tag)
 
 
 def _pick(schema: T.StructType, names: list[str], *more: T.StructField) -> T.StructType:

@@ -55,6 +55,10 @@ def test_snapshots(spark, tmp_path):
     assert TB.write_snapshot(grown, root, "b1") == 2
     assert TB.write_snapshot(one, root, "b1") == 2
     assert TB.read_snapshot(spark, root, schemas.RAW_PAGES).count() == 2
+    TB.append_snapshot(spark.createDataFrame([("c", "3")], schemas.RAW_PAGES), root, "b2")
+    assert sorted(r.html for r in TB.read_snapshot(spark, root, schemas.RAW_PAGES).collect()) == ["1", "2", "3"]
+    TB.write_snapshot(TB.read_snapshot(spark, root, schemas.RAW_PAGES), root)
+    assert TB.read_snapshot(spark, root, schemas.RAW_PAGES).count() == 3
     full = TB.with_defaults(spark.createDataFrame([("h",)], "host string"), schemas.DOMAIN_STATE, schemas.DOMAIN_STATE_DEFAULTS).first()
     assert (full.crawl_delay_ms, full.max_parallelism, full.recrawl_interval_hours, full.success_rate) == (1000, 1, 168, 1.0)
     assert set(TB.empty_table(spark, "urls").columns) == set(schemas.URLS.names)
@@ -245,14 +249,19 @@ def test_replayed_batch_changes_nothing(spark, tmp_path, staged):
     ST.resolve_batch(documents, 0, where, now())
 
     def state():
-        tables = ("urls", "observations", "companies", "company_observation_links")
-        return {t: spark.read.parquet(f"{where.path(t)}/v={TB.current_version(spark, where.path(t))}").count() for t in tables}
+        kinds = {"urls": schemas.URLS, "observations": ST._observed_schema(), "companies": ST._company_schema(),
+                 "company_observation_links": ST._link_schema()}
+        return {t: TB.read_snapshot(spark, where.path(t), k).count() for t, k in kinds.items()}
 
     before = state()
     assert before["observations"] == 12 and before["company_observation_links"] == 12 and before["companies"] >= 3
     assert spark.read.parquet(where.path("evidence")).count() == 12
     ST.resolve_batch(documents, 0, where, now())
     assert state() == before
+    # The same pages under a new batch number are new observations of the companies that are there.
+    ST.resolve_batch(documents, 1, where, now())
+    after = state()
+    assert after["observations"] == 24 and after["companies"] == before["companies"] and after["urls"] == before["urls"]
 
 
 def test_first_arrivals(spark, tmp_path):

@@ -29,7 +29,7 @@ from firmloom.functions.urls import (
     url_scheme,
 )
 from firmloom.session import cut_lineage
-from firmloom.skew import lookup_join, number_rows
+from firmloom.skew import CHUNK_ROWS, lookup_join, number_rows
 
 FRONTIER_ROW = ("id", "canonical_url", "host", "render_mode", "depth", "priority", "source_type")
 
@@ -155,9 +155,10 @@ def insert_if_absent(
     # Both frames are read twice below: the batch must be made, and the frontier probed, only once.
     firsts = cut_lineage(first_per_key(rows, "url_hash", [position, *ties]))
     fresh = cut_lineage(absent_rows(frontier, firsts, "url_hash"))
-    top = frontier.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top"))
-    numbered = number_rows(fresh, position, ties, "_number").crossJoin(F.broadcast(top))
-    numbered = numbered.withColumn("id", F.col("_top") + F.col("_number"))
+    top = F.coalesce(frontier.agg(F.max("id")).scalar(), F.lit(0))
+    # With ties a position has several rows (the links of a page), so fewer positions make a chunk.
+    numbered = number_rows(fresh, position, ties, "_number", chunk_rows=CHUNK_ROWS // 10 if ties else CHUNK_ROWS)
+    numbered = numbered.withColumn("id", top + F.col("_number"))
     types = {f.name: f.dataType for f in schemas.URLS}
     stamped = {"next_fetch_at": now, "created_at": now, "updated_at": now}
 

@@ -73,7 +73,7 @@ def block_guard(
     running = running_totals(outcomes, run, index, counts, **extra)
     tripped = (F.col(index) >= min_processed) & (F.col("blocked_so_far") / F.col(index) >= stop_rate)
     stops = running.where(tripped).groupBy(run).agg(F.min(index).alias("stop_idx"))
-    joined = lookup_join(running, stops, run, F.col(index))
+    joined = lookup_join(running, stops, run, F.col(index), counts=outcomes.groupBy(run).count())
     return joined.where(F.col("stop_idx").isNull() | (F.col(index) <= F.col("stop_idx")))
 
 

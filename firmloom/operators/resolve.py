@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from firmloom.functions.text import nonempty
+from firmloom.functions.urls import hash_url
 from firmloom.operators.components import connected_components
 from firmloom.operators.frontier import absent_rows
 from firmloom.operators.survivorship import (
@@ -36,8 +37,6 @@ MAX_FOLD_ROWS = 1_000_000
 # --- appending observations and links ----------------------------------------
 def observation_rows(parsed: DataFrame, source_url: str, evidence_key: Column | None = None) -> DataFrame:
     """Observation-table columns of parsed pages, defaults filled in."""
-    from firmloom.functions.urls import hash_url
-
     key = F.lit(None).cast("string") if evidence_key is None else evidence_key
     return parsed.withColumns(
         {
@@ -298,8 +297,8 @@ def assign_companies(
     founders = founders.withColumn("_position", F.col("rank") - F.lit(_NEW))
     numbered = number_rows(founders, "_position", [], "_number").select("rank", "_number")
     if companies is not None:
-        top = companies.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top"))
-        numbered = numbered.crossJoin(F.broadcast(top)).select("rank", (F.col("_top") + F.col("_number")).alias("_number"))
+        top = F.coalesce(companies.agg(F.max("id")).scalar(), F.lit(0))
+        numbered = numbered.select("rank", (top + F.col("_number")).alias("_number"))
     final = lookup_join(ranks, numbered, "rank", F.col("id"), hot_rows)
     ids = final.select("id", F.coalesce("_number", "rank").alias("company_id"))
     return prepared.join(ids, "id")

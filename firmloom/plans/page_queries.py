@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from firmloom.functions import html as H
 from firmloom.functions.constants import PAGE_SOCIAL_DOMAINS, PAGE_TYPE_HINTS, PAGE_TYPE_PRIORITY
-from firmloom.functions.text import clean_text
+from firmloom.functions.urls import url_authority
 from firmloom.operators import frontier as FR, pages as PG, signals as SG
 from firmloom.plans import fixtures as fx
-from firmloom.plans.fixtures_sql import NOW, any_of, canonical_url, first_match, render_mode, score, source_type, url_parts
+from firmloom.plans.fixtures_sql import any_of, canonical_url, first_match, render_mode, score, source_type, url_parts
 from firmloom.plans.registry import query
 
 # RE2 classes are ASCII, so blanks beyond ASCII are listed.
@@ -75,8 +75,6 @@ _GUESSED_NAME = f"""CASE WHEN contains(title, '|') THEN {clean("split_part(title
     ["fx_company_html"],
 )
 def page_text_fields(spark, sf_dir):
-    from firmloom.functions.urls import url_authority
-
     read = both(spark, sf_dir).select(
         "page_id", "url", H.page_title(F.col("html")).alias("title"), H.meta_description(F.col("html")).alias("meta_description")
     )

@@ -16,7 +16,6 @@ from firmloom.functions.constants import (
     ORG_HINTS,
     PROFILE_PAGE_HINTS,
 )
-from firmloom.functions.text import unique_nonempty
 from firmloom.operators import health as HL, intake as IN, profiles as PR
 from firmloom.plans import fixtures as fx
 from firmloom.plans.fixtures_sql import any_of, first_match

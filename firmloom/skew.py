@@ -112,7 +112,11 @@ def running_totals(
 def number_rows(
     rows: DataFrame, position: str, ties: Sequence[str], out: str, start: Column | int = 0, chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
-    """Consecutive numbers ``start + 1, …`` in (position, ties) order, without one global sort."""
+    """Consecutive numbers ``start + 1, …`` in (position, ties) order, without one global sort.
+
+    ``position`` is an id counted up from somewhere: the chunks it is cut into
+    must be far fewer than the rows.
+    """
     chunked = rows.withColumn("_chunk", chunk_of(F.col(position), chunk_rows))
     counts = chunked.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_n"))
     # One row per chunk: the only unpartitioned window, over count / chunk_rows rows.

@@ -113,10 +113,10 @@ def resolve_batch(documents: DataFrame, batch_id: int, store: Store, now: Column
     observed_root = store.path("observations")
     if not TB.was_published(spark, observed_root, tag):
         old = TB.read_snapshot(spark, observed_root, _observed_schema())
-        top = old.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top"))
-        numbered = number_rows(flat, "frontier_id", ["final_url"], "_n").crossJoin(F.broadcast(top))
+        top = F.coalesce(old.agg(F.max("id")).scalar(), F.lit(0))
+        numbered = number_rows(flat, "frontier_id", ["final_url"], "_n")
         key = F.concat("host", F.lit("/"), F.col("frontier_id").cast("string"), F.lit(".json"))
-        rows = R.observation_rows(numbered.withColumn("id", F.col("_top") + F.col("_n")), "final_url", key)
+        rows = R.observation_rows(numbered.withColumn("id", top + F.col("_n")), "final_url", key)
         shaped = rows.withColumns({"observed_at": now, "batch_id": F.lit(batch_id).cast("bigint")})
         names = _observed_schema().names
         TB.append_snapshot(shaped.select(*names), observed_root, tag)

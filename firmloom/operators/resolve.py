@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import partial
 from typing import NamedTuple
 
 import pandas as pd
@@ -108,7 +109,8 @@ def resolve_by_component(observations: DataFrame, hot_rows: int = HOT_KEY_ROWS)
 class _Companies:
     """Companies of one component, found by the domain or name they have at the moment."""
 
-    def __init__(self) -> None:
+    def __init__(self, latest_name: bool = False) -> None:
+        self.latest_name = latest_name
         self.rows: dict[int, list] = {}  # rank -> [domain, name, weight]
         self.index: tuple[dict, dict] = ({}, {})
 
@@ -138,20 +140,20 @@ class _Companies:
         row = self.rows[rank]
         if domain is not None and domain != row[0]:
             self.put(rank, 0, domain)
-        if name and name != row[1] and (not row[1] or weight > row[2]):
+        if name and name != row[1] and (self.latest_name or not row[1] or weight > row[2]):
             self.put(rank, 1, name)
         row[2] = weight
         return rank
 
 
-def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _fold(batches: Iterator[pd.DataFrame], latest_name: bool) -> Iterator[pd.DataFrame]:
     """Walk rows sorted by (component, kind, id); only the current component is in memory.
 
     Kind 0 rows are companies that exist already (id is their rank), kind 1 rows
     are observations.  Gives a rank per observation, and each component's
     companies as they stand at its end.
     """
-    current, state = None, _Companies()
+    current, state = None, _Companies(latest_name)
 
     def closing() -> list[tuple]:
         return [(current, 0, rank, rank, d, n, w) for rank, (d, n, w) in state.rows.items()]
@@ -163,7 +165,7 @@ def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if component != current:
                 if current is not None:
                     out += closing()
-                current, state = component, _Companies()
+                current, state = component, _Companies(latest_name)
             if kind == 0:
                 state.add(row_id, domain, name, weight)
             else:
@@ -174,14 +176,14 @@ def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(closing(), columns=columns)
 
 
-def _run_fold(rows: DataFrame) -> DataFrame:
+def _run_fold(rows: DataFrame, latest_name: bool) -> DataFrame:
     ordered = rows.repartition("component").sortWithinPartitions("component", "kind", "id")
     return ordered.mapInPandas(
-        _fold, "component long, kind int, id long, rank long, domain string, name string, weight double"
+        partial(_fold, latest_name=latest_name), "component long, kind int, id long, rank long, domain string, name string, weight double"
     )
 
 
-def _fold_in_slices(rows: DataFrame, seeds: DataFrame, max_rows: int) -> DataFrame:
+def _fold_in_slices(rows: DataFrame, seeds: DataFrame, max_rows: int, latest_name: bool) -> DataFrame:
     """Ranks of components too large for one task, ``max_rows`` observations of each at a time.
 
     Every round folds the next slice of all such components, starting from the
@@ -200,7 +202,7 @@ def _fold_in_slices(rows: DataFrame, seeds: DataFrame, max_rows: int) -> DataFra
         held = state.withColumn("_key", F.explode(F.array(F.concat(F.lit("d:"), "domain"), F.concat(F.lit("n:"), "name"))))
         touched = held.join(keys, ["component", "_key"], "left_semi").select("component", "id").distinct()
         active = state.join(touched, ["component", "id"], "left_semi")
-        folded = cut_lineage(_run_fold(active.select(*names).unionByName(part.select(*names))))
+        folded = cut_lineage(_run_fold(active.select(*names).unionByName(part.select(*names)), latest_name))
         ended = folded.where("kind = 0").select(
             "component", F.lit(0).alias("kind"), "id", "domain", "name", F.col("name").alias("fallback"), "weight"
         )
@@ -225,7 +227,7 @@ def reachable_companies(narrow: DataFrame, companies: DataFrame) -> DataFrame:
 
 def assign_companies(
     observations: DataFrame, companies: DataFrame | None = None, max_fold_rows: int = MAX_FOLD_ROWS,
-    hot_rows: int = HOT_KEY_ROWS,
+    hot_rows: int = HOT_KEY_ROWS, variant: str = "staged",
 ) -> DataFrame:
     """Add ``company_id`` to every observation, exactly as if they came one by one in id order.
 
@@ -237,8 +239,10 @@ def assign_companies(
     * Those above ``max_fold_rows`` rows advance slice by slice.
 
     Only id, domain, name, fallback name and weight enter the fold.  New ids
-    follow the largest existing one in founding order.
+    follow the largest existing one in founding order.  With
+    ``variant="starter"`` a company always takes the latest name, whatever its weight.
     """
+    latest_name = variant == "starter"
     prepared = with_resolution_columns(observations)
     narrow = prepared.select(
         "id", F.col("primary_domain").alias("domain"), F.col("company_name").alias("name"),
@@ -289,9 +293,9 @@ def assign_companies(
         held = seeds.join(kinds, "component")
         carried = held.where("_giant").select(*names)
         ordinary = small.unionByName(held.where(~F.col("_giant")).select(*names))
-    ranks = simple.unionByName(_run_fold(ordinary).where("kind = 1").select("id", "rank"))
+    ranks = simple.unionByName(_run_fold(ordinary, latest_name).where("kind = 1").select("id", "rank"))
     if not giant.isEmpty():
-        ranks = ranks.unionByName(_fold_in_slices(giant, carried, max_fold_rows))
+        ranks = ranks.unionByName(_fold_in_slices(giant, carried, max_fold_rows, latest_name))
     ranks = cut_lineage(ranks)
     founders = ranks.where(F.col("rank") >= _NEW).select("rank").distinct()
     founders = founders.withColumn("_position", F.col("rank") - F.lit(_NEW))
@@ -336,7 +340,7 @@ def resolve_observations(
     ``companies`` of the result holds every company, touched or not; ``values``
     the list entries this batch adds in long form; ``links`` the new links.
     """
-    assigned = cut_lineage(assign_companies(observations, companies, max_fold_rows, hot_rows))
+    assigned = cut_lineage(assign_companies(observations, companies, max_fold_rows, hot_rows, variant))
     rows = assigned
     if companies is not None:
         hit = assigned.select(F.col("company_id").alias("id")).distinct()

@@ -93,6 +93,15 @@ def test_exact_resolution(spark, seed, n, domains, names, fold):
         assert r.confidence == pytest.approx(c["confidence"]) and r.confidence_details.weighted_confidence == pytest.approx(c["w"])
 
 
+def test_starter_resolution(spark):
+    rows = [r | {"company_name": r["company_name"] or None} for r in random_rows(13, 150, 25, 40)]
+    table, owner = replay(rows, starter=True)
+    out = R.resolve_observations(as_frame(spark, rows), variant="starter")
+    assert {r.observation_id: r.company_id for r in out.links.collect()} == owner
+    got = {r.id: (r.canonical_name, r.primary_domain, r.primary_email, r.confidence) for r in out.companies.collect()}
+    assert got == {i: (c["canonical_name"], c["primary_domain"], c["email"], c["confidence"]) for i, c in table.items()}
+
+
 @pytest.mark.parametrize("fold", [70])
 def test_resolution_in_two_batches(spark, fold):
     rows = random_rows(7, 240, 25, 40)

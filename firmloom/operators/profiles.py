@@ -99,7 +99,7 @@ def profile_values(facts: DataFrame, key: str = "query_id") -> DataFrame:
     """List-valued profile fields in long form: (key, field, value, first_pos, first_index).
 
     Duplicates collapse on the map side.  Sorting a field by (first_pos,
-    first_index) gives the reference order of the list: first seen first.
+    first_index) gives the order of the list: first seen first.
     """
 
     def entries(field: str, values: Column) -> Column:

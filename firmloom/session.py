@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set[str] = set()
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session for tests and local benches; a cluster brings its own."""
@@ -48,3 +53,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Functions of the package travel by reference, so the workers must be able
+    to import it wherever the driver found it.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="firmloom-package-")) / package.name
+        shutil.make_archive(str(archive), "zip", package.parent, package.name)
+        spark.sparkContext.addPyFile(f"{archive}.zip")
+        _SHIPPED.add(app)
+
+
+def map_frames(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``df.mapInPandas(run, schema)`` on workers that can import this package."""
+    ship_package(df.sparkSession)
+    return df.mapInPandas(run, schema)

@@ -212,8 +212,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_column: str =
     return map_frames(docs.selectExpr(f"`{id_column}` AS k", f"`{text}` AS t"), run, schema).withColumnRenamed("k", id_column)
 
 
-def encode_digests(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, n_tokens, ids_sha256, decoded_sha256, round_trip of every text, and nothing as long as the text.
+def encode_digests(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id", text: str = "text", ids: bool = False) -> DataFrame:
+    """id, n_tokens, ids_sha256, decoded_sha256, round_trip of every text, and with ``ids`` the packed 32-bit ids.
 
     The text is encoded, the ids are decoded again, and both are hashed in the
     same pass.  A null text counts as empty; repeated rows give repeated rows.
@@ -227,13 +227,13 @@ def encode_digests(docs: DataFrame, path: str, pattern: str, id_column: str = "d
             rows = []
             for t, packed in zip(texts, codec.encode(texts), strict=True):
                 plain = codec.decode(packed)
-                rows.append((len(packed) // 4, sha(packed).hexdigest(), sha(plain).hexdigest(), plain == t.encode()))
-            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "round_trip"])
+                rows.append((len(packed) // 4, sha(packed).hexdigest(), sha(plain).hexdigest(), plain == t.encode(), packed))
+            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "round_trip", "ids"])
             out.insert(0, "k", f["k"].to_numpy())
-            yield out
+            yield out if ids else out.drop(columns="ids")
 
     kind = docs.schema[id_column].dataType.simpleString()
-    schema = f"k {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, round_trip boolean"
+    schema = f"k {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, round_trip boolean{', ids binary' if ids else ''}"
     return map_frames(docs.selectExpr(f"`{id_column}` AS k", f"`{text}` AS t"), run, schema).withColumnRenamed("k", id_column)
 
 

@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from firmloom.llm.common import hinted, same, stored, table
+from firmloom.llm.common import hinted, same, stored, table, text_key
 from firmloom.session import map_frames
 
 #: Buckets of the frequency sketch (4 bytes each where it is used): its size never grows with the data.
@@ -89,7 +89,7 @@ def _bucket(shingles: np.ndarray) -> np.ndarray:
 
 
 def read_classes(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
-    """(id, n, cls) of every row of ``docs`` (id, text), and the sketch of how many documents hold a shingle."""
+    """(id, key, n, cls) of every row of ``docs`` (id, key, text), and the sketch of how many documents hold a shingle."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, counts = Shingler(words), np.zeros(1 << SKETCH_BITS, np.int64)
@@ -98,10 +98,10 @@ def read_classes(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
             for s in sets:
                 np.add.at(counts, _bucket(s), 1)
             n = [len(s) for s in sets]
-            yield pd.DataFrame({"id": f["id"], "n": n, "cls": [class_of(s) if len(s) else 0 for s in sets], "chunk": -1, "part": None})
+            yield pd.DataFrame({"id": f["id"], "key": f["key"], "n": n, "cls": [class_of(s) if len(s) else 0 for s in sets], "chunk": -1, "part": None})
         for c, part in enumerate(np.split(counts, CHUNKS)):
             if part.any():
-                yield pd.DataFrame({"id": [None], "n": 0, "cls": 0, "chunk": c, "part": [zlib.compress(part.astype("<u4").tobytes(), 1)]}).astype({"id": "object"})
+                yield pd.DataFrame({"id": [None], "key": 0, "n": 0, "cls": 0, "chunk": c, "part": [zlib.compress(part.astype("<u4").tobytes(), 1)]}).astype({"id": "object"})
 
     def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
@@ -113,12 +113,12 @@ def read_classes(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
             yield pd.DataFrame({"chunk": [c], "part": [s.tobytes()]})
 
     kind = docs.schema["id"].dataType.simpleString()
-    rows = stored(map_frames(docs.select("id", "text"), run, f"id {kind}, n long, cls long, chunk int, part binary"))
+    rows = stored(map_frames(docs.select("id", "key", "text"), run, f"id {kind}, key long, n long, cls long, chunk int, part binary"))
     parts = map_frames(rows.where("chunk >= 0").select("chunk", "part").repartition(CHUNKS, "chunk"), add, "chunk int, part binary")
     sketch = np.zeros((CHUNKS, (1 << SKETCH_BITS) // CHUNKS), np.int64)
     for c, part in parts.collect():  # CHUNKS rows, 8 MB in all
         sketch[c] = np.frombuffer(part, np.int64)
-    return rows.where("chunk = -1").select("id", "n", "cls"), np.minimum(sketch.reshape(-1), 2**32 - 1).astype(np.uint32)
+    return rows.where("chunk = -1").select("id", "key", "n", "cls"), np.minimum(sketch.reshape(-1), 2**32 - 1).astype(np.uint32)
 
 
 def read_prefixes(docs: DataFrame, sketch: np.ndarray, words: int, percent: int) -> DataFrame:
@@ -249,7 +249,7 @@ def cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """id, n_shingles and component_id (smallest linked id) of every row of ``docs``.
+    """id, n_shingles, component_id (smallest linked id) and _key (hash of the text) of every row of ``docs``.
 
     A set holds the distinct shingles of ``words`` words; a text with fewer has
     one, all its words.  Rows link when 100 * intersection >= percent * union.
@@ -257,7 +257,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     with one id but different texts are judged by their texts; null ids count
     only where a component has no other.
     """
-    d = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
+    d = docs.select(F.col(id_column).alias("id"), text_key(F.col(text)).alias("key"), F.col(text).alias("text"))
     rows, sketch = read_classes(d, words)
     classes = read_prefixes(d, sketch, words, percent)
     live = entries(classes, percent)
@@ -277,8 +277,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     grouped = _components(rows, edges)
     smallest = grouped.where("n > 0").groupBy("comp").agg(F.min("id").alias("least")).withColumnRenamed("comp", "of")
     met = grouped.join(smallest, (F.col("n") > 0) & (F.col("comp") == F.col("of")), "left")
-    return met.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"))
+    return met.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"), F.col("key").alias("_key"))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """``docs`` with one row of each connected group: the one with the smallest id.
+
+    Of repeated rows with one id and text a single one stays.
+    """
+    rows = stored(near_duplicates(docs, words, percent, text, id_column))
+    per_row = rows.groupBy(F.col(id_column).alias("_id"), "_key").agg(F.max(~F.col(id_column).eqNullSafe(F.col("component_id"))).alias("_gone"), F.count(F.lit(1)).alias("_n"))
+    odd = hinted(stored(per_row.where("_gone OR _n > 1").withColumnRenamed("_key", "_at")))
+    keyed = docs.withColumn("_key", text_key(F.col(text)))
+    met = keyed.join(odd, keyed[id_column].eqNullSafe(odd["_id"]) & (keyed["_key"] == odd["_at"]), "left").where("_gone IS NULL OR NOT _gone")
+    single = met.where("_n IS NULL").select(*docs.columns)
+    repeated = met.where("_n IS NOT NULL").dropDuplicates([id_column, "_key"]).select(*docs.columns)
+    return single.unionByName(repeated)
 
 
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=90)
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=90).drop("_key")

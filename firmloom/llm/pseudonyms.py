@@ -16,7 +16,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from firmloom.llm.common import table
 from firmloom.session import map_frames
@@ -239,7 +239,8 @@ def pseudonymize(docs: DataFrame, key: bytes = DEMO_KEY, text: str = "text") ->
             yield f
 
     docs = docs.drop("pii_spans", "n_pii")
-    schema = docs.schema.add("pii_spans", "array<struct<kind:string,start:int,end:int>>").add("n_pii", "int")
+    span = T.StructType().add("kind", "string").add("start", "int").add("end", "int")
+    schema = T.StructType(docs.schema.fields).add("pii_spans", T.ArrayType(span)).add("n_pii", "int")
     return map_frames(docs, run, schema)
 
 

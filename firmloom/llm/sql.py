@@ -111,7 +111,7 @@ def jaccard_sql(words: int = 3, percent: int = 90) -> str:
     shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM g x JOIN g y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
     links AS MATERIALIZED (SELECT a, b FROM shared JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= {percent} * (p.n + q.n - k)),
     both_ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-    reach(doc_id, at) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, e.b FROM reach r JOIN both_ways e ON r.at = e.a)
+    reach(doc_id, near) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, e.b FROM reach r JOIN both_ways e ON r.near = e.a)
     SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.c AS component_id
-    FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(at) AS c FROM reach GROUP BY doc_id) r USING (doc_id)
+    FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(near) AS c FROM reach GROUP BY doc_id) r USING (doc_id)
     """

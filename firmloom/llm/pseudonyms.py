@@ -239,8 +239,9 @@ def pseudonymize(docs: DataFrame, key: bytes = DEMO_KEY, text: str = "text") ->
             yield f
 
     docs = docs.drop("pii_spans", "n_pii")
-    span = T.StructType().add("kind", "string").add("start", "int").add("end", "int")
-    schema = T.StructType(docs.schema.fields).add("pii_spans", T.ArrayType(span)).add("n_pii", "int")
+    whole = T.IntegerType()
+    span = T.StructType().add("kind", T.StringType()).add("start", whole).add("end", whole)
+    schema = T.StructType([*docs.schema.fields, T.StructField("pii_spans", T.ArrayType(span)), T.StructField("n_pii", whole)])
     return map_frames(docs, run, schema)
 
 

@@ -19,12 +19,13 @@ document.  It decides the order only: whatever the order, no link is lost.
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from firmloom.llm.common import hinted, same, stored, table, text_key
 from firmloom.session import map_frames
@@ -34,7 +35,8 @@ SKETCH_BITS = 20
 CHUNKS = 16
 #: Parts of the hash range in which the suffix filter counts.
 PARTS = 64
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
+PLACE = ("n", "pos", "known")
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -155,19 +157,27 @@ def _shared(rows: DataFrame, by: str) -> DataFrame:
 
 
 def entries(classes: DataFrame, percent: int) -> DataFrame:
-    """token, cls, n, pos, central for the classes that share enough of their longer prefix, within the plain prefix."""
+    """token, cls, n, pos, known, central for the classes that share enough of their longer prefix, within the plain prefix.
+
+    ``known`` counts the class's entries before this one that others hold too:
+    of all that stands before, only those can be common.  Entries too far down
+    for what is left to be enough are dropped.
+    """
     every = classes.select("cls", F.posexplode("prefix").alias("pos", "token"))
-    most = F.ceil(F.ceil(F.lit(percent) * F.col("n") / 100) / 20)  # a partner may be smaller, and so guarantee less
+    least = F.ceil(F.lit(percent) * F.col("n") / 100)
     counts = _shared(every, "cls").groupBy("cls").agg(F.count(F.lit(1)).alias("_n"))
-    live = classes.join(counts, "cls").where(F.col("_n") >= most)
-    plain = F.slice("prefix", F.lit(1), (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1).cast("int"))
-    return stored(_shared(stored(live.select("cls", "n", "central", F.posexplode(plain).alias("pos", "token"))), "cls"))
+    live = classes.join(counts, "cls").where(F.col("_n") >= F.ceil(least / 20))  # a partner may be smaller, and so guarantee less
+    plain = F.slice("prefix", F.lit(1), (F.col("n") - least + 1).cast("int"))
+    rows = _shared(stored(live.select("cls", "n", "central", F.posexplode(plain).alias("pos", "token"))), "cls")
+    known = rows.withColumn("known", F.row_number().over(W.partitionBy("cls").orderBy("pos")) - 1)
+    return stored(_shared(stored(known.where(F.col("known") + F.col("n") - F.col("pos") >= least)), "cls"))
 
 
-def may_link(n1: Column, p1: Column, n2: Column, p2: Column, percent: int) -> Column:
-    """Length filter, and the positional filter for an entry at places p1 and p2."""
+def may_link(x: Sequence[Column], y: Sequence[Column], percent: int) -> Column:
+    """Length filter, and the positional filter for an entry of two classes (n, pos and known of each)."""
+    (n1, p1, k1), (n2, p2, k2) = x, y
     length = 100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)
-    most = F.least(p1, p2) + 1 + F.least(n1 - p1, n2 - p2) - 1
+    most = F.least(k1, k2) + F.least(n1 - p1, n2 - p2)
     return length & ((100 + percent) * most >= percent * (n1 + n2))
 
 
@@ -233,19 +243,32 @@ def _components(rows: DataFrame, edges: DataFrame | None) -> DataFrame:
 
 def star_pairs(rows: DataFrame, rank: Column, percent: int) -> DataFrame:
     """Each class with the first class, by ``rank``, of each of its entries."""
-    hub = rows.groupBy("token").agg(F.max(F.struct(rank.alias("rank"), "cls", "n", "pos", "comp")).alias("hub"))
-    met = rows.join(hub, "token").where((F.col("comp") != F.col("hub.comp")) & may_link(F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos"), percent))
+    hub = rows.groupBy("token").agg(F.max(F.struct(rank.alias("rank"), "cls", "n", "pos", "known", "comp")).alias("hub"))
+    met = rows.join(hub, "token").where((F.col("comp") != F.col("hub.comp")) & may_link([F.col(c) for c in PLACE], [F.col(f"hub.{c}") for c in PLACE], percent))
     return met.select(F.least("cls", "hub.cls").alias("a"), F.greatest("cls", "hub.cls").alias("b")).distinct()
 
 
 def cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """All pairs of classes of different components that share an entry; pairs inside a component are never formed."""
-    places = rows.select("token", "comp").distinct()
-    meet = places.alias("p").join(places.alias("q"), "token").where("p.comp < q.comp").select("token", F.col("p.comp").alias("ca"), F.col("q.comp").alias("cb"))
-    x = rows.select("token", F.col("comp").alias("ca"), F.col("cls").alias("xa"), F.col("n").alias("na"), F.col("pos").alias("pa"))
-    y = rows.select("token", F.col("comp").alias("cb"), F.col("cls").alias("xb"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
-    met = meet.join(x, ["token", "ca"]).join(y, ["token", "cb"]).where(may_link(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent))
-    return met.select(F.least("xa", "xb").alias("a"), F.greatest("xa", "xb").alias("b")).distinct()
+    """All pairs of classes of different components that share an entry; pairs inside a component are never formed.
+
+    The length filter is part of the join key: sizes lie in bands so wide that
+    sizes which may link differ by one band at most.
+    """
+    band = F.floor(F.log(F.col("n").cast("double")) / (1.0001 * math.log(100 / percent))).cast("int") if percent < 100 else F.col("n").cast("int")
+    banded = rows.withColumn("band", band)
+    best = [F.max("known").alias("k"), F.max(F.col("n") - F.col("pos")).alias("r"), F.min("n").alias("lo"), F.max("n").alias("hi")]
+    places = banded.groupBy("token", "band", "comp").agg(*best).select("token", "band", "comp", F.struct("k", "r", "lo", "hi").alias("p"))
+    reach = places.select("token", F.col("band").alias("yb"), F.col("comp").alias("cb"), F.col("p").alias("q"), F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)).alias("band"))
+    length = 100 * F.least("p.hi", "q.hi") >= percent * F.greatest("p.lo", "q.lo")
+    most = F.least("p.k", "q.k") + F.least("p.r", "q.r")
+    able = length & ((100 + percent) * most >= percent * (F.col("p.lo") + F.col("q.lo")))  # what the best of both could do
+    meet = places.join(reach, ["token", "band"]).where((F.col("comp") < F.col("cb")) & able).select("token", F.col("band").alias("xb"), F.col("comp").alias("ca"), "yb", "cb")
+    x, y = (
+        banded.select("token", F.col("band").alias(f"{s}b"), F.col("comp").alias(c), F.col("cls").alias(s), F.struct(*PLACE).alias(f"at_{s}"))
+        for s, c in (("x", "ca"), ("y", "cb"))
+    )
+    met = meet.join(x, ["token", "xb", "ca"]).join(y, ["token", "yb", "cb"]).where(may_link(*[[F.col(f"at_{s}.{c}") for c in PLACE] for s in "xy"], percent))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: str = "text", id_column: str = "doc_id") -> DataFrame:

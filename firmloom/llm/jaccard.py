@@ -262,12 +262,15 @@ def cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
     length = 100 * F.least("p.hi", "q.hi") >= percent * F.greatest("p.lo", "q.lo")
     most = F.least("p.k", "q.k") + F.least("p.r", "q.r")
     able = length & ((100 + percent) * most >= percent * (F.col("p.lo") + F.col("q.lo")))  # what the best of both could do
-    meet = places.join(reach, ["token", "band"]).where((F.col("comp") < F.col("cb")) & able).select("token", F.col("band").alias("xb"), F.col("comp").alias("ca"), "yb", "cb")
+    meet = places.join(reach, ["token", "band"]).where((F.col("comp") < F.col("cb")) & able).select("token", F.col("band").alias("xb"), F.col("comp").alias("ca"), "yb", "cb", "q")
     x, y = (
         banded.select("token", F.col("band").alias(f"{s}b"), F.col("comp").alias(c), F.col("cls").alias(s), F.struct(*PLACE).alias(f"at_{s}"))
         for s, c in (("x", "ca"), ("y", "cb"))
     )
-    met = meet.join(x, ["token", "xb", "ca"]).join(y, ["token", "yb", "cb"]).where(may_link(*[[F.col(f"at_{s}.{c}") for c in PLACE] for s in "xy"], percent))
+    one_able = (100 * F.least("at_x.n", "q.hi") >= percent * F.greatest("at_x.n", "q.lo")) & (
+        (100 + percent) * (F.least("at_x.known", "q.k") + F.least(F.col("at_x.n") - F.col("at_x.pos"), F.col("q.r"))) >= percent * (F.col("at_x.n") + F.col("q.lo"))
+    )
+    met = meet.join(x, ["token", "xb", "ca"]).where(one_able).join(y, ["token", "yb", "cb"]).where(may_link(*[[F.col(f"at_{s}.{c}") for c in PLACE] for s in "xy"], percent))
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 

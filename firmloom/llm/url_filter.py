@@ -130,6 +130,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url:
     to_score = texts.where(~F.col("counted") & (F.length("text") > 0))
     summed = (
         to_score.select("host", "path", "label", "n", "counted", F.explode(gram_list(F.col("text"), ORDER)).alias("g"))
+        .hint("merge")  # the stored texts look small, what they explode into is not
         .join(gram_weights(texts), "g")
         .groupBy("host", "path", "label", "n", "counted").agg(F.sum("weight").alias("total"), F.count(F.lit(1)).alias("chars"))
     )

@@ -35,9 +35,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window with a benchmark item."""
     hits, _ = contaminated_words(docs, table(spark, sf_dir, "benchmark"))
-    gone = hinted(stored(hits.select(F.col("id").alias("_id"), F.col("_key").alias("_at")).distinct()))
-    keyed = docs.withColumn("_key", text_key(F.col("text")))
-    clean = keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["_id"]) & (keyed["_key"] == gone["_at"]), "left_anti")
+    gone = hinted(stored(hits.select(F.col("id").alias("__fl_id"), F.col("_key").alias("__fl_at")).distinct()))
+    keyed = docs.withColumn("__fl_key", text_key(F.col("text")))
+    clean = keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["__fl_id"]) & (keyed["__fl_key"] == gone["__fl_at"]), "left_anti")
     return clean.select(*docs.columns)
 
 

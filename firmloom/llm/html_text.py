@@ -85,8 +85,6 @@ def lines_of(page: str | None) -> list[Line]:
             if not m["rest"].endswith("/"):
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
                 at = end.end() if end else len(page)
-            if name not in ("svg", "math"):
-                flush()
             continue
         if name not in INLINE:
             flush()

@@ -312,12 +312,12 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, text: str =
     Of repeated rows with one id and text a single one stays.
     """
     rows = stored(near_duplicates(docs, words, percent, text, id_column))
-    per_row = rows.groupBy(F.col(id_column).alias("_id"), "_key").agg(F.max(~F.col(id_column).eqNullSafe(F.col("component_id"))).alias("_gone"), F.count(F.lit(1)).alias("_n"))
-    odd = hinted(stored(per_row.where("_gone OR _n > 1").withColumnRenamed("_key", "_at")))
-    keyed = docs.withColumn("_key", text_key(F.col(text)))
-    met = keyed.join(odd, keyed[id_column].eqNullSafe(odd["_id"]) & (keyed["_key"] == odd["_at"]), "left").where("_gone IS NULL OR NOT _gone")
-    single = met.where("_n IS NULL").select(*docs.columns)
-    repeated = met.where("_n IS NOT NULL").dropDuplicates([id_column, "_key"]).select(*docs.columns)
+    per_row = rows.groupBy(F.col(id_column).alias("__fl_id"), "_key").agg(F.max(~F.col(id_column).eqNullSafe(F.col("component_id"))).alias("__fl_gone"), F.count(F.lit(1)).alias("__fl_n"))
+    odd = hinted(stored(per_row.where("__fl_gone OR __fl_n > 1").withColumnRenamed("_key", "__fl_at")))
+    keyed = docs.withColumn("__fl_key", text_key(F.col(text)))
+    met = keyed.join(odd, keyed[id_column].eqNullSafe(odd["__fl_id"]) & (keyed["__fl_key"] == odd["__fl_at"]), "left").where("__fl_gone IS NULL OR NOT __fl_gone")
+    single = met.where("__fl_n IS NULL").select(*docs.columns)
+    repeated = met.where("__fl_n IS NOT NULL").dropDuplicates([id_column, "__fl_key"]).select(*docs.columns)
     return single.unionByName(repeated)
 
 

@@ -171,15 +171,15 @@ def scan(docs: DataFrame, dictionary: str, text: str = "text", id_column: str =
 
 def redact(docs: DataFrame, findings: DataFrame, text: str = "text", id_column: str = "doc_id", mask: str = MASK) -> DataFrame:
     """``docs`` with every finding that is a secret replaced by ``mask``; all columns stay."""
-    found = stored(findings.where("is_secret").select(F.col(id_column).alias("_id"), F.col("_key").alias("_at"), "start", "end").distinct())
-    spans = found.groupBy("_id", "_at").agg(F.sort_array(F.collect_list(F.struct("start", "end")), asc=False).alias("_spans"))
+    found = stored(findings.where("is_secret").select(F.col(id_column).alias("__fl_id"), F.col("_key").alias("__fl_at"), "start", "end").distinct())
+    spans = found.groupBy("__fl_id", "__fl_at").agg(F.sort_array(F.collect_list(F.struct("start", "end")), asc=False).alias("__fl_spans"))
     spans = hinted(stored(spans), 100_000) if found.count() <= 1_000_000 else spans
-    keyed = docs.withColumn("_key", text_key(F.col(text)))
-    met = keyed.join(spans, keyed[id_column].eqNullSafe(spans["_id"]) & (keyed["_key"] == spans["_at"]), "left")
+    keyed = docs.withColumn("__fl_key", text_key(F.col(text)))
+    met = keyed.join(spans, keyed[id_column].eqNullSafe(spans["__fl_id"]) & (keyed["__fl_key"] == spans["__fl_at"]), "left")
     masked = F.aggregate(
-        "_spans", F.col(text), lambda t, s: F.concat(F.substr(t, F.lit(1), s["start"]), F.lit(mask), F.substr(t, s["end"] + 1))
+        "__fl_spans", F.col(text), lambda t, s: F.concat(F.substr(t, F.lit(1), s["start"]), F.lit(mask), F.substr(t, s["end"] + 1))
     )
-    return met.withColumn(text, F.when(F.col("_spans").isNull(), F.col(text)).otherwise(masked)).select(*docs.columns)
+    return met.withColumn(text, F.when(F.col("__fl_spans").isNull(), F.col(text)).otherwise(masked)).select(*docs.columns)
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,6 +91,8 @@ def gram_weights(texts: DataFrame, order: int = ORDER) -> DataFrame:
 def threshold(scored: DataFrame) -> DataFrame:
     """One row, ``least``: the score step with the most held-out URLs on their right side (per label; the lowest of equal ones).
 
+    It lies halfway between the two scores that it parts.
+
     Null if either label has no held-out URL.  Scores are counted in at most
     2 * LIMIT * STEPS + 1 steps before they meet.
     """
@@ -100,14 +102,15 @@ def threshold(scored: DataFrame) -> DataFrame:
     )
     steps = F.sort_array(F.collect_list(F.struct("step", ALLOW, BLOCK)))
     one = counts.agg(steps.alias("s"), *[F.sum(v).alias(v) for v in (ALLOW, BLOCK)])
-    start = F.struct(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(-2).cast("decimal(38,0)").alias("best"), F.lit(None).cast("long").alias("least"))
+    start = F.struct(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(-2).cast("decimal(38,0)").alias("best"), F.lit(None).cast("long").alias("least"), F.lit(None).cast("long").alias("last"))
 
     def walk(acc: Column, x: Column) -> Column:
         gain = (acc["b"].cast("decimal(18,0)") * F.col(ALLOW).cast("decimal(18,0)") - acc["a"].cast("decimal(18,0)") * F.col(BLOCK).cast("decimal(18,0)")).cast("decimal(38,0)")
         better = gain > acc["best"]
         return F.struct(
             (acc["a"] + x[ALLOW]).alias("a"), (acc["b"] + x[BLOCK]).alias("b"),
-            F.when(better, gain).otherwise(acc["best"]).alias("best"), F.when(better, x["step"]).otherwise(acc["least"]).alias("least"),
+            F.when(better, gain).otherwise(acc["best"]).alias("best"),
+            F.when(better, F.floor((x["step"] + F.coalesce(acc["last"], x["step"])) / 2)).otherwise(acc["least"]).alias("least"), x["step"].alias("last"),
         )
 
     return one.select(F.when((F.col(ALLOW) > 0) & (F.col(BLOCK) > 0), F.aggregate("s", start, walk)["least"]).alias("least"))

@@ -199,7 +199,7 @@ def json_ld_nodes(html: Column) -> Column:
     def nodes_of(script: Column) -> Column:
         text = F.trim(F.regexp_replace(script, r"^\s+|\s+$", ""))
         listed = F.when(text.startswith("["), text).otherwise(F.concat(F.lit("["), text, F.lit("]")))
-        return F.coalesce(F.from_json(listed, "array<string>"), empty_strings())
+        return F.coalesce(F.from_json(listed, "array<string>", {"allowSingleQuotes": "false"}), empty_strings())
 
     return F.flatten(F.transform(scripts, nodes_of))
 
@@ -217,8 +217,11 @@ def company_from_node(node: Column) -> Column:
     is_object = address.startswith("{")
     part = {p: F.when(is_object, F.get_json_object(address, f"$.{p}")) for p in _ADDRESS_PARTS}
     joined = F.concat_ws(", ", *[F.nullif(part[p], F.lit("")) for p in _ADDRESS_PARTS])
-    same_as = n["sameAs"]
-    socials = F.when(same_as.startswith("["), F.from_json(same_as, "array<string>")).otherwise(F.array(same_as))
+    # Only strings count, alone or in a list: variants keep the kind that a plain string column loses.
+    same_as = F.try_variant_get(F.try_parse_json(node), "$.sameAs", "variant")
+    given = F.coalesce(F.from_json(F.to_json(same_as), "array<variant>"), F.array(same_as))
+    strings = F.filter(given, lambda s: F.schema_of_variant(s) == "STRING")
+    socials = F.transform(strings, lambda s: F.try_variant_get(s, "$", "string"))
     return F.struct(
         clean_text(first_nonempty(n["legalName"], n["name"])).alias("company_name"),
         clean_text(n["url"]).alias("website"),

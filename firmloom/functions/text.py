@@ -59,3 +59,8 @@ def word_count(value: Column) -> Column:
 
 def empty_strings() -> Column:
     return F.array().cast("array<string>")
+
+
+def first_of(values: Column, limit: int | None) -> Column:
+    """The first ``limit`` values of an array, or all of them."""
+    return values if limit is None else F.slice(values, 1, limit)

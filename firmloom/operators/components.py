@@ -8,9 +8,6 @@ the graph, not with its diameter.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from firmloom.session import cut_lineage
@@ -30,24 +27,6 @@ def _with_min(edges: DataFrame, hot_rows: int) -> DataFrame:
     return rest.unionByName(edges.join(hubs, "u"))
 
 
-def _contract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Edges of one partition, each node tied to the smallest node it reaches inside that partition."""
-    parent: dict = {}
-
-    def root(x):
-        while parent.setdefault(x, x) != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    for batch in batches:
-        for u, v in zip(batch["u"].tolist(), batch["v"].tolist()):
-            a, b = root(u), root(v)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-    ties = [(x, root(x)) for x in list(parent) if root(x) != x]
-    yield pd.DataFrame(ties, columns=["u", "v"])
-
-
 def _large_star(edges: DataFrame, hot_rows: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = _with_min(both, hot_rows).withColumn("m", F.least("u", "m"))
@@ -75,15 +54,10 @@ def connected_components(pairs: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> Data
     nodes = distinct.select(F.explode(F.array("a", "b")).alias("node")).where(F.col("node").isNotNull()).distinct()
     linked = distinct.where(F.col("b").isNotNull() & (F.col("a") != F.col("b")))
     edges = linked.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    # Partitions first shrink by themselves; the rounds join what is left.
-    edges = cut_lineage(edges.mapInPandas(_contract, edges.schema))
-    if edges.rdd.getNumPartitions() > 1:
-        before = _fingerprint(edges)
-        while True:
-            edges = cut_lineage(_small_star(_large_star(edges, hot_rows), hot_rows))
-            now = _fingerprint(edges)
-            if now == before:
-                break
-            before = now
+    edges = cut_lineage(edges)
+    before = None
+    while (now := _fingerprint(edges)) != before:
+        before = now
+        edges = cut_lineage(_small_star(_large_star(edges, hot_rows), hot_rows))
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.join(roots, "node", "left").select("node", F.coalesce("component", "node").alias("component"))

@@ -17,7 +17,7 @@ from firmloom.functions.constants import (
     STARTER_TRACKING_PARAMS,
     TRACKING_PARAMS,
 )
-from firmloom.functions.text import contains_any
+from firmloom.functions.text import contains_any, first_of
 from firmloom.functions.urls import (
     canonicalize_url,
     extract_host,
@@ -114,12 +114,12 @@ def discovered_rows(
     return built.withColumn("priority", score_url(c, F.col("depth"), F.col("source_type")))
 
 
-def explode_links(pages: DataFrame, links: str, position: str, max_links: int = 50) -> DataFrame:
-    """One row per kept link of a page, ``depth`` one deeper; order is (position, link_no)."""
+def explode_links(pages: DataFrame, links: str, position: str, max_links: int | None = 50) -> DataFrame:
+    """One row per kept link of a page (``max_links=None``: all), ``depth`` one deeper; order is (position, link_no)."""
     return pages.select(
         F.col(position).alias("position"),
         (F.col("depth") + 1).cast("int").alias("depth"),
-        F.posexplode(F.slice(links, 1, max_links)).alias("link_no", "url"),
+        F.posexplode(first_of(F.col(links), max_links)).alias("link_no", "url"),
     )
 
 

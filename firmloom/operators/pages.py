@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from firmloom.functions import html as H
-from firmloom.functions.text import clean_text, empty_strings, first_nonempty, nonempty, sorted_distinct
+from firmloom.functions.text import clean_text, empty_strings, first_nonempty, first_of, nonempty, sorted_distinct
 from firmloom.functions.urls import resolve_links, url_authority, url_path, url_query, url_scheme
 
 OBSERVATION_FIELDS = (
@@ -49,11 +49,12 @@ def page_signals(pages: DataFrame, url: str = "url", html: str = "html") -> Data
 
 
 def parse_pages(
-    pages: DataFrame, url: str = "url", html: str = "html", max_links: int = 50, variant: str = "staged"
+    pages: DataFrame, url: str = "url", html: str = "html", max_links: int | None = 50, variant: str = "staged",
+    max_emails: int | None = 10, max_phones: int | None = 10, max_addresses: int | None = 5,
 ) -> DataFrame:
     """One row per page: observation columns, metadata columns, ``discovered_links``.
 
-    One narrow stage; ``html`` does not leave it.  ``variant="starter"`` gives
+    The limits may be None, which keeps everything.  One narrow stage; ``html`` does not leave it.  ``variant="starter"`` gives
     the simpler rules: the title is the name, structured data is not back-filled,
     no addresses, page types or social links are read off the page.
     """
@@ -70,16 +71,16 @@ def parse_pages(
             "page_socials": empty_strings() if starter else H.extract_social_links(F.col("links")),
             "ld": H.company_from_node(F.col("jsonld_raw")),
             "link_count": F.size("links"),
-            "discovered_links": F.slice("links", 1, max_links),
+            "discovered_links": first_of(F.col("links"), max_links),
         }
     ).drop(html, "hrefs", "links", "mailtos", "tels")
     observed = _starter_observation(found, url) if starter else _staged_observation(found, url)
     out = observed.withColumns(
         {
             "important_page_candidates": H.important_page_candidates(F.col("important_page_links")),
-            "emails": F.slice("emails", 1, 10),
-            "phones": F.slice("phones", 1, 10),
-            "addresses": F.slice("addresses", 1, 5),
+            "emails": first_of(F.col("emails"), max_emails),
+            "phones": first_of(F.col("phones"), max_phones),
+            "addresses": first_of(F.col("addresses"), max_addresses),
         }
     )
     kept = [c for c in pages.columns if c != html]

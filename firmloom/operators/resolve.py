@@ -26,7 +26,7 @@ from firmloom.operators.survivorship import (
     merged_companies,
     with_resolution_columns,
 )
-from firmloom.session import cut_lineage
+from firmloom.session import cut_lineage, map_frames
 from firmloom.skew import HOT_KEY_ROWS, lookup_join, number_rows, running_totals
 
 # Ranks order companies by age: existing ones by id, new ones after them by founding observation.
@@ -178,8 +178,8 @@ def _fold(batches: Iterator[pd.DataFrame], latest_name: bool) -> Iterator[pd.Dat
 
 def _run_fold(rows: DataFrame, latest_name: bool) -> DataFrame:
     ordered = rows.repartition("component").sortWithinPartitions("component", "kind", "id")
-    return ordered.mapInPandas(
-        partial(_fold, latest_name=latest_name), "component long, kind int, id long, rank long, domain string, name string, weight double"
+    return map_frames(
+        ordered, partial(_fold, latest_name=latest_name), "component long, kind int, id long, rank long, domain string, name string, weight double"
     )
 
 

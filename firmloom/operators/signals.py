@@ -20,6 +20,7 @@ from firmloom.functions.names import pick_best_description, pick_company_name, t
 from firmloom.functions.text import clean_text, empty_strings, first_nonempty, unique_nonempty
 from firmloom.functions.urls import brand_domain_mapping, classify_domain, join_url, url_authority
 from firmloom.operators.pages import page_signals
+from firmloom.session import map_frames
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK_TAGS = "p|div|br|li|ul|ol|tr|td|th|table|h[1-6]|section|article|header|footer|nav|address|main|aside|form|title"
@@ -85,10 +86,10 @@ def element_texts(html: Column, tag: str) -> Column:
 
 def _as_json_list(value: Column) -> Column:
     listed = F.when(value.startswith("["), value).otherwise(F.concat(F.lit("["), value, F.lit("]")))
-    return F.coalesce(F.from_json(listed, "array<string>"), empty_strings())
+    return F.coalesce(F.from_json(listed, "array<string>", {"allowSingleQuotes": "false"}), empty_strings())
 
 
-def company_nodes(nodes: Column, graph_depth: int = 3) -> Column:
+def company_nodes(nodes: Column, graph_depth: int = 8) -> Column:
     """The company-like ones among JSON nodes, with ``@graph`` lists opened."""
 
     def opened(nodes: Column) -> Column:
@@ -173,20 +174,20 @@ class _BlockReader(HTMLParser):
                 self.brand.append(data)
 
 
-def _read_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _read_blocks(batches: Iterator[pd.DataFrame], max_blocks: int | None) -> Iterator[pd.DataFrame]:
     for batch in batches:
         blocks, brands = [], []
         for html in batch["_html"]:
             reader = _BlockReader()
             reader.feed(html or "")
             texts = [" ".join("".join(b).split()) for b in reader.blocks]
-            blocks.append([t for t in texts if t][:20])
+            blocks.append([t for t in texts if t][:max_blocks])
             brands.append(" ".join("".join(reader.brand or []).split()) or None)
         yield batch.drop(columns="_html").assign(focused_text_blocks=blocks, nav_brand=brands)
 
 
-def selected_blocks(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Add focused_text_blocks and nav_brand.
+def selected_blocks(pages: DataFrame, html: str = "html", max_blocks: int | None = 20) -> DataFrame:
+    """Add focused_text_blocks (the first ``max_blocks``, or all) and nav_brand.
 
     They depend on the element tree, which regular expressions cannot follow;
     one Arrow pass over the markup reads both, without a join afterwards.
@@ -195,10 +196,10 @@ def selected_blocks(pages: DataFrame, html: str = "html") -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             batch = batch.assign(_html=batch[html])
-            yield from _read_blocks(iter([batch]))
+            yield from _read_blocks(iter([batch]), max_blocks)
 
     fields = ", ".join(f"`{n}` {t}" for n, t in pages.dtypes)
-    return pages.mapInPandas(run, f"{fields}, focused_text_blocks array<string>, nav_brand string")
+    return map_frames(pages, run, f"{fields}, focused_text_blocks array<string>, nav_brand string")
 
 
 def rich_signals(

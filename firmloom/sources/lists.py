@@ -3,24 +3,30 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from firmloom import schemas
+from firmloom.functions.text import WHITESPACE_RUN
+
+
+def _stripped(value: str) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(value, rf"^{WHITESPACE_RUN}|{WHITESPACE_RUN}$", "")
 
 
 def read_seeds(spark: SparkSession, path: str) -> DataFrame:
     """One URL per line, stripped, blank lines dropped."""
-    return spark.read.text(path).select(F.trim("value").alias("url")).where(F.col("url") != "")
+    return spark.read.text(path).select(_stripped("value").alias("url")).where(F.col("url") != "")
 
 
 def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line_no, value) of one text file, numbered from 1, without one task reading it all.
+    """(line_no, value) of a text file, numbered from 1, without one task reading it all.
 
-    Lines are counted per input split; a split's first number is the count of
-    the splits before it.  Only one row per split goes through the sort.
+    Several files are numbered one after the other, by name.  Lines are counted
+    per input split; a split's first number is the count of the splits before it.  Only one row per split goes through the sort.
     """
     lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_block_start").alias("_split"), F.monotonically_increasing_id().alias("_n")
+        "value", F.struct("_metadata.file_path", "_metadata.file_block_start").alias("_split"), F.monotonically_increasing_id().alias("_n")
     )
     splits = lines.groupBy("_split").agg(F.min("_n").alias("_first"), F.count(F.lit(1)).alias("_lines"))
     before = W.orderBy("_split").rowsBetween(W.unboundedPreceding, -1)
@@ -31,7 +37,7 @@ def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_queries(spark: SparkSession, path: str) -> DataFrame:
     """(query_id, query): the id is the line number; blank lines are skipped but counted."""
-    lines = read_numbered_lines(spark, path).select(F.col("line_no").alias("query_id"), F.trim("value").alias("query"))
+    lines = read_numbered_lines(spark, path).select(F.col("line_no").alias("query_id"), _stripped("value").alias("query"))
     return lines.where(F.col("query") != "")
 
 
@@ -39,7 +45,7 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType = schemas.
     """(good records, undecodable lines) of JSON lines; a missing path has neither."""
     marked = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     try:
-        lines = spark.read.text(path).where(F.trim("value") != "")
+        lines = spark.read.text(path).where(_stripped("value") != "")
     except AnalysisException as problem:
         if "PATH_NOT_FOUND" not in (problem.getCondition() or ""):
             raise

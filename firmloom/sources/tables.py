@@ -97,16 +97,15 @@ def with_defaults(rows: DataFrame, schema: T.StructType, defaults: dict[str, obj
 def upsert(current: DataFrame, incoming: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """Next state of a keyed table: the newest incoming row of a key, else the current row.
 
-    The newest row is found by an aggregate with map-side reduction, so many
-    copies of one key cost nothing extra.
+    Only the batch is aggregated; the current table just loses the rows whose
+    key the batch holds.
     """
     columns = current.columns
     others = [c for c in columns if c != key]
-    tagged = current.select(*columns, F.lit(0).alias("_new"), *[F.lit(None).cast(incoming.schema[o].dataType).alias(f"_o{i}") for i, o in enumerate(order)])
-    fresh = incoming.select(*columns, F.lit(1).alias("_new"), *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)])
-    ranking = F.struct("_new", *[f"_o{i}" for i in range(len(order))])
-    newest = tagged.unionByName(fresh).groupBy(key).agg(F.max_by(F.struct(*others), ranking).alias("_row"))
-    return newest.select(key, "_row.*").select(*columns)
+    newest = incoming.groupBy(key).agg(F.max_by(F.struct(*others), F.struct(*order)).alias("_row")).select(key, "_row.*").select(*columns)
+    touched = newest.select(F.col(key).alias("_key"))
+    kept = current.join(touched, current[key].eqNullSafe(touched["_key"]), "left_anti")
+    return kept.unionByName(newest)
 
 
 def record_rows(records: DataFrame, key: str, now: Column) -> DataFrame:

@@ -58,7 +58,7 @@ def fetch_events(envelopes: DataFrame) -> DataFrame:
 
 
 # --- parse stage -------------------------------------------------------------
-def parse_stage(events: DataFrame, raw_pages: DataFrame, max_links: int = 50) -> DataFrame:
+def parse_stage(events: DataFrame, raw_pages: DataFrame, max_links: int | None = 50) -> DataFrame:
     """Fetch events to parsed documents; a stream joined to the stored pages.
 
     With a bucketed store the events get the same bucket, so that a batch only
@@ -100,7 +100,7 @@ def resolve_batch(documents: DataFrame, batch_id: int, store: Store, now: Column
     frontier = TB.read_snapshot(spark, store.path("urls"), schemas.URLS)
     if not TB.was_published(spark, store.path("urls"), tag):
         pages = documents.select("frontier_id", "depth", F.col("parsed.discovered_links").alias("links"))
-        links = FR.explode_links(pages, "links", "frontier_id")
+        links = FR.explode_links(pages, "links", "frontier_id", max_links=None)  # the parse stage has chosen
         _, new = FR.add_discovered_urls(frontier, links, now)
         TB.append_snapshot(new, store.path("urls"), tag)
     flat = documents.select("frontier_id", "host", "final_url", "parsed.observation.*", "parsed.metadata")

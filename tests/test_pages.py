@@ -84,7 +84,7 @@ def test_structured_data(evaluate):
     node = H.json_ld_company_text(F.col("v"))
     got = evaluate([(r,) for r in rows], "v string", c=H.company_from_node(node), missing=node.isNull())
     names = [(c["company_name"], c["address"], c["social_links"]) for c, _ in got]
-    plain = ("Acme", "1 Rd, IN", ["https://x.com/a", "3"])
+    plain = ("Acme", "1 Rd, IN", ["https://x.com/a"])  # the number is no link
     assert names[:3] == [plain] * 3 and names[6] == plain
     assert got[3][1] is True and names[3] == (None, None, [])
     assert names[4][1] == "2 Long Rd" and names[5] == ("Acme Ltd", "1 Rd, IN", ["https://x.com/one"])

@@ -109,13 +109,9 @@ def profile_values(facts: DataFrame, key: str = "query_id") -> DataFrame:
     for field, column in CLEANED_LISTS.items():
         lists.append(entries(field, F.transform(F.col(column), clean_text)))
     long = facts.select(key, "pos", F.explode(F.concat(*lists)).alias("e")).select(key, "pos", "e.*")
-    # Position and index in one number, so that the aggregate needs no sort; a list has fewer than 2^21 items.
-    order = F.shiftleft(F.col("pos").cast("bigint"), 21) + F.col("index")
-    firsts = long.where(F.col("value").isNotNull()).groupBy(key, "field", "value").agg(F.min(order).alias("_order"))
-    return firsts.select(
-        key, "field", "value", F.shiftright("_order", 21).alias("first_pos"),
-        F.col("_order").bitwiseAND(F.lit((1 << 21) - 1)).alias("first_index"),
-    )
+    place = F.struct(F.col("pos").cast("bigint").alias("first_pos"), F.col("index").cast("bigint").alias("first_index"))
+    firsts = long.where(F.col("value").isNotNull()).groupBy(key, "field", "value").agg(F.min(place).alias("_first"))
+    return firsts.select(key, "field", "value", "_first.first_pos", "_first.first_index")
 
 
 def value_lists(values: DataFrame, key: str = "query_id", part_rows: int = PART_ROWS) -> DataFrame:

@@ -16,6 +16,7 @@ from typing import NamedTuple
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from firmloom import schemas
 from firmloom.functions.text import nonempty
 from firmloom.functions.urls import hash_url
 from firmloom.operators.components import connected_components
@@ -140,7 +141,8 @@ class _Companies:
         row = self.rows[rank]
         if domain is not None and domain != row[0]:
             self.put(rank, 0, domain)
-        if name and name != row[1] and (self.latest_name or not row[1] or weight > row[2]):
+        takes = name is not None if self.latest_name else bool(name) and (not row[1] or weight > row[2])
+        if takes and name != row[1]:
             self.put(rank, 1, name)
         row[2] = weight
         return rank
@@ -227,7 +229,7 @@ def reachable_companies(narrow: DataFrame, companies: DataFrame) -> DataFrame:
 
 def assign_companies(
     observations: DataFrame, companies: DataFrame | None = None, max_fold_rows: int = MAX_FOLD_ROWS,
-    hot_rows: int = HOT_KEY_ROWS, variant: str = "staged",
+    hot_rows: int = HOT_KEY_ROWS, variant: str = "staged", empty_domain_is_key: bool = False,
 ) -> DataFrame:
     """Add ``company_id`` to every observation, exactly as if they came one by one in id order.
 
@@ -240,16 +242,19 @@ def assign_companies(
 
     Only id, domain, name, fallback name and weight enter the fold.  New ids
     follow the largest existing one in founding order.  With
-    ``variant="starter"`` a company always takes the latest name, whatever its weight.
+    ``variant="starter"`` a company always takes the latest name, whatever its weight,
+    also an empty one, which is then found like any other.
     """
     latest_name = variant == "starter"
-    prepared = with_resolution_columns(observations)
+    prepared = with_resolution_columns(observations, empty_domain_is_key)
     narrow = prepared.select(
         "id", F.col("primary_domain").alias("domain"), F.col("company_name").alias("name"),
         F.col("fallback_name").alias("fallback"), "weight",
         F.xxhash64(F.coalesce(_domain_key(), _name_key())).alias("_a"), F.xxhash64(_name_key()).alias("_b"),
     )
     pairs = narrow.select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    if latest_name:
+        pairs = pairs.unionByName(narrow.where("name = ''").select(F.col("_b").alias("a"), F.xxhash64(F.lit("n:")).alias("b")))
     seeds = None
     if companies is not None:
         seeds = reachable_companies(narrow, companies).select(
@@ -333,21 +338,33 @@ def _seed_observations(companies: DataFrame, like: DataFrame) -> DataFrame:
 
 def resolve_observations(
     observations: DataFrame, companies: DataFrame | None = None, links: DataFrame | None = None,
-    variant: str = "staged", max_fold_rows: int = MAX_FOLD_ROWS, hot_rows: int = HOT_KEY_ROWS,
+    variant: str = "staged", max_fold_rows: int = MAX_FOLD_ROWS, hot_rows: int = HOT_KEY_ROWS, empty_domain_is_key: bool = False,
+    now: Column | None = None,
 ) -> Resolution:
     """Assign, merge and link a batch of observations against an optional company table.
 
-    ``companies`` of the result holds every company, touched or not; ``values``
-    the list entries this batch adds in long form; ``links`` the new links.
+    ``companies`` of the result holds every company, touched or not, with all
+    columns of the given table; ``values`` the list entries this batch adds in
+    long form; ``links`` the new links.  With ``now``, companies of the batch get
+    it as ``updated_at``, and a ``status`` where they have none.
     """
-    assigned = cut_lineage(assign_companies(observations, companies, max_fold_rows, hot_rows, variant))
+    assigned = cut_lineage(assign_companies(observations, companies, max_fold_rows, hot_rows, variant, empty_domain_is_key))
     rows = assigned
     if companies is not None:
         hit = assigned.select(F.col("company_id").alias("id")).distinct()
         rows = rows.unionByName(_seed_observations(companies.join(hit, "id", "left_semi"), assigned))
     merged = merged_companies(rows, variant).withColumnRenamed("company_id", "id").drop("observation_count")
     if companies is not None:
-        kept = companies.select(*[c for c in merged.columns if c in companies.columns])
-        merged = merged.unionByName(kept.join(merged.select("id"), "id", "left_anti"), allowMissingColumns=True)
+        others = [c for c in companies.columns if c not in merged.columns]
+        seen = F.col("last_seen_at") if "last_seen_at" in companies.columns else F.lit(None).cast("timestamp")
+        stored = companies.select(F.col("id").alias("_id"), seen.alias("_seen"), *others)
+        joined = merged.join(stored, F.col("id") == F.col("_id"), "left")
+        merged = joined.withColumn("last_seen_at", F.greatest("last_seen_at", "_seen")).drop("_id", "_seen")
+    if now is not None:
+        status = F.col("status") if "status" in merged.columns else F.lit(None).cast("string")
+        merged = merged.withColumns({"status": F.coalesce(status, F.lit(schemas.COMPANY_DEFAULT_STATUS)), "updated_at": now})
+    if companies is not None:
+        kept = companies.join(assigned.select(F.col("company_id").alias("id")), "id", "left_anti")
+        merged = merged.unionByName(kept, allowMissingColumns=True)
     resolver = "starter-v1" if variant == "starter" else "starter-merge-v1"
     return Resolution(merged, company_values(assigned), link_rows(assigned, links, resolver))

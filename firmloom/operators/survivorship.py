@@ -114,12 +114,14 @@ def company_values(assigned: DataFrame) -> DataFrame:
         entries("social_profiles", F.coalesce("social_links", no_items)), entries("source_urls", F.array("source_url"))
     )
     long = assigned.select("company_id", "id", F.explode(lists).alias("e")).select("company_id", "id", "e.*")
-    order = F.shiftleft(F.col("id").cast("bigint"), 21) + F.col("index")
-    firsts = long.where(nonempty(F.col("value"))).groupBy("company_id", "field", "value").agg(F.min(order).alias("_order"))
-    return firsts.select(
-        "company_id", "field", "value", F.shiftright("_order", 21).alias("first_id"),
-        F.col("_order").bitwiseAND(F.lit((1 << 21) - 1)).alias("first_index"),
-    )
+    placed = long.where(nonempty(F.col("value"))).withColumns({"first_id": F.col("id").cast("bigint"), "first_index": F.col("index").cast("bigint")})
+    return merged_values(placed)
+
+
+def merged_values(values: DataFrame) -> DataFrame:
+    """Long values of any number of batches as one: each value of a company and field at its first place."""
+    firsts = values.groupBy("company_id", "field", "value").agg(F.min(F.struct("first_id", "first_index")).alias("_first"))
+    return firsts.select("company_id", "field", "value", "_first.first_id", "_first.first_index")
 
 
 def company_value_lists(values: DataFrame, part_ids: int = 1_000_000) -> DataFrame:

@@ -94,7 +94,7 @@ def test_exact_resolution(spark, seed, n, domains, names, fold):
 
 
 def test_starter_resolution(spark):
-    rows = [r | {"company_name": r["company_name"] or None} for r in random_rows(13, 150, 25, 40)]
+    rows = random_rows(13, 150, 25, 40)
     table, owner = replay(rows, starter=True)
     out = R.resolve_observations(as_frame(spark, rows), variant="starter")
     assert {r.observation_id: r.company_id for r in out.links.collect()} == owner
@@ -102,6 +102,36 @@ def test_starter_resolution(spark):
     assert got == {i: (c["canonical_name"], c["primary_domain"], c["email"], c["confidence"]) for i, c in table.items()}
 
 
+def test_late_batch_keeps_what_is_stored(spark):
+    first, second = random_rows(3, 30, 3, 3), random_rows(4, 30, 3, 3)
+    for rows, day, step in ((first, "2024-01-12", 0), (second, "2024-01-11", 1000)):
+        for r in rows:
+            r |= {"observed_at": day, "id": r["id"] + step}
+
+    def frame(rows):
+        schema = SCHEMA.replace("observed_at timestamp", "observed_at string")
+        made = spark.createDataFrame([tuple(r[n] for n in NAMES) for r in rows], schema)
+        return made.withColumn("observed_at", F.col("observed_at").cast("timestamp"))
+
+    one = R.resolve_observations(frame(first), now=F.lit("2024-01-12").cast("timestamp"))
+    companies = one.companies.withColumns({"status": F.lit("closed"), "note": F.lit("mine")})
+    two = R.resolve_observations(frame(second), companies, now=F.lit("2024-01-13").cast("timestamp"))
+    known = {r.id for r in companies.collect()}
+    got = {r.id: r for r in two.companies.collect()}
+    touched = {r.company_id for r in two.links.collect()}
+    assert known & touched and set(got) == known | touched
+    for i in known:
+        assert (str(got[i].last_seen_at)[:10], got[i].status, got[i].note) == ("2024-01-12", "closed", "mine")
+        assert str(got[i].updated_at)[:10] == ("2024-01-13" if i in touched else "2024-01-12")
+
+
+def test_empty_domain_is_a_key_when_asked(spark):
+    rows = [r | {"primary_domain": None, "website": "/about", "company_name": f"N{i}"} for i, r in enumerate(random_rows(6, 5, 2, 2))]
+    frame = as_frame(spark, rows).drop("primary_domain")
+    for asked, companies in ((True, 1), (False, 5)):
+        assert R.resolve_observations(frame, empty_domain_is_key=asked).companies.count() == companies
+
+
 @pytest.mark.parametrize("fold", [70])
 def test_resolution_in_two_batches(spark, fold):
     rows = random_rows(7, 240, 25, 40)

@@ -28,10 +28,16 @@ def current_version(spark: SparkSession, root: str) -> int:
     return _versions(spark, root).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
 
 
-def read_snapshot(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """The table as of its last version: the last whole snapshot and what was appended since."""
+def read_snapshot(spark: SparkSession, root: str, schema: T.StructType, before: str = "") -> DataFrame:
+    """The table as of its last version: the last whole snapshot and what was appended since.
+
+    With ``before``, the table as it was before the version of that tag, if there is one.
+    """
     # One manifest row per version since the last whole snapshot reaches the driver.
     manifest = _versions(spark, root)
+    if before:
+        tagged = manifest.where(F.col("tag") == before).agg(F.min("version")).first()[0]
+        manifest = manifest if tagged is None else manifest.where(F.col("version") < tagged)
     last = manifest.where("whole").agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
     live = [r.version for r in manifest.where(F.col("version") >= last).select("version").distinct().collect()]
     if not live:

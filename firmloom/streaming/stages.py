@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.streaming import StreamingQuery
 
 from firmloom import schemas
-from firmloom.operators import frontier as FR, health as HL, pages as PG, resolve as R
+from firmloom.operators import frontier as FR, health as HL, pages as PG, resolve as R, survivorship as SV
 from firmloom.skew import number_rows
 from firmloom.sources import tables as TB
 
@@ -93,7 +93,10 @@ def resolve_batch(documents: DataFrame, batch_id: int, store: Store, now: Column
     """Apply one batch of parsed documents: links to the frontier, observations to companies.
 
     Every table is published under the batch number, so a replayed batch, also
-    one that failed half-way, changes each table at most once.
+    one that failed half-way, changes each table at most once.  Companies, list
+    values and links all follow from the observations of the batch and the
+    companies before it, which a replay reads again: whatever a failed try has
+    written, the next one gives the same ids.
     """
     spark = documents.sparkSession
     tag = f"batch-{batch_id}"
@@ -122,16 +125,20 @@ def resolve_batch(documents: DataFrame, batch_id: int, store: Store, now: Column
         TB.append_snapshot(shaped.select(*names), observed_root, tag)
     batch = TB.read_snapshot(spark, observed_root, _observed_schema()).where(F.col("batch_id") == batch_id).drop("batch_id")
     companies_root, links_root = store.path("companies"), store.path("company_observation_links")
-    companies = TB.read_snapshot(spark, companies_root, _company_schema())
+    companies = TB.read_snapshot(spark, companies_root, _company_schema(), before=tag)
     if not TB.was_published(spark, links_root, tag):
         known = TB.read_snapshot(spark, links_root, _link_schema())
-        done = R.resolve_observations(batch, companies, known, max_fold_rows=max_fold_rows)
-        if not TB.was_published(spark, companies_root, tag):
-            TB.write_snapshot(done.companies.select(*_company_schema().names), companies_root, tag)
-            done.values.write.mode("overwrite").parquet(f"{store.path('company_values')}/batch={batch_id}")
+        done = R.resolve_observations(batch, companies, known, max_fold_rows=max_fold_rows, now=now)
+        done.values.write.mode("overwrite").parquet(f"{store.path('company_values')}/batch={batch_id}")
+        TB.write_snapshot(done.companies.select(*_company_schema().names), companies_root, tag)
         TB.append_snapshot(done.links.select(*_link_schema().names), links_root, tag)
 
 
+def stored_values(spark: SparkSession, store: Store) -> DataFrame:
+    """Social profiles and source URLs of all companies over all batches, in long form, each at its first place."""
+    return SV.merged_values(spark.read.parquet(store.path("company_values")))
+
+
 def _pick(schema: T.StructType, names: list[str], *more: T.StructField) -> T.StructType:
     return T.StructType([schema[n] for n in names] + list(more))
 
@@ -143,7 +150,7 @@ def _observed_schema() -> T.StructType:
 
 
 def _company_schema() -> T.StructType:
-    skipped = ("status", "updated_at", "social_profiles", "source_urls")
+    skipped = ("social_profiles", "source_urls")  # long, in company_values
     return _pick(schemas.COMPANIES, [n for n in schemas.COMPANIES.names if n not in skipped])
 
 

@@ -264,6 +264,36 @@ def test_replayed_batch_changes_nothing(spark, tmp_path, staged):
     assert after["observations"] == 24 and after["companies"] == before["companies"] and after["urls"] == before["urls"]
 
 
+@pytest.mark.parametrize("writes", [2, 3, 4])
+def test_crash_after_a_write(spark, tmp_path, staged, monkeypatch, writes):
+    source, store = staged
+    documents = ST.parse_stage(ST.decode_messages(spark.read.text(str(source)), schemas.FETCH_EVENT), store).cache()
+    clean, broken = ST.Store(str(tmp_path / "clean")), ST.Store(str(tmp_path / "broken"))
+    ST.resolve_batch(documents, 0, clean, now())
+    real, done = TB._publish, []
+
+    def publish(*args):
+        version = real(*args)
+        done.append(version)
+        if len(done) == writes:
+            raise OSError("lost")
+        return version
+
+    with monkeypatch.context() as m:
+        m.setattr(TB, "_publish", publish)
+        with pytest.raises(OSError):
+            ST.resolve_batch(documents, 0, broken, now())
+    ST.resolve_batch(documents, 0, broken, now())
+
+    def state(where):
+        kinds = {"observations": ST._observed_schema(), "companies": ST._company_schema(), "company_observation_links": ST._link_schema()}
+        rows = {t: sorted(map(str, TB.read_snapshot(spark, where.path(t), k).collect())) for t, k in kinds.items()}
+        return rows | {"values": sorted(map(str, ST.stored_values(spark, where).collect()))}
+
+    assert state(broken) == state(clean)
+    assert {r.status for r in TB.read_snapshot(spark, broken.path("companies"), ST._company_schema()).collect()} == {"active"}
+
+
 def test_first_arrivals(spark, tmp_path):
     for part, rows in enumerate([["a", "b", "a"], ["b", "c"], ["a"]]):
         (tmp_path / f"{part}.json").write_text("\n".join(json.dumps({"url_hash": r, "ts": f"2024-01-01T00:0{part}:00"}) for r in rows))

@@ -91,7 +91,7 @@ class Pseudonymizer:
         r"|(?<![\w.])(?P<ipv4>\d{1,3}(?:\.\d{1,3}){3})(?![\w]|\.\d)"
         r"|(?<!\w)(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?!\w)"
         r"|(?<![\w.\-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w\-])"
-        r"|(?<![\w.\-/])(?P<date>\d{4}-\d{2}-\d{2}|\d{1,2}[./]\d{1,2}[./]\d{4})(?![\w/\-])"
+        r"|(?<![\w.\-/])(?P<date>\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\w/\-])"
         r"|(?<![\w.\-])(?P<card>\d(?:[ \-]?\d){12,18})(?!\w|[.\-]\d)"
         r"|(?<![\w.\-])(?P<phone>(?:\+\d{1,3}[ .\-]?)?(?:\(\d{3}\)[ .\-]?|\d{3}[ .\-])\d{3}[ .\-]\d{4}|\+\d{1,3}(?:[ .\-]?\d{2,4}){2,5})(?!\w|[.\-]\d)",
         re.ASCII,
@@ -186,18 +186,29 @@ class Pseudonymizer:
         return kept + _refill(value[len(kept) :], self._digits("phone", digits), str.isdigit)
 
     def date(self, value: str) -> str | None:
-        """A calendar day of 1900-2099 becomes another; day.month.year and year-month-day keep their order."""
+        """A calendar day of 1900-2099 becomes another; day.month.year and year-month-day keep their order.
+
+        Slash dates are read day first, or month first where that is no day;
+        such a date moves among those that only read month first.
+        """
         sign = next(c for c in value if not c.isdigit())
-        a, b, c = value.split(sign)
+        a, b, c = map(int, value.split(sign))
+        month_first = sign == "/" and a <= 12 < b
         try:
-            day = dt.date(int(a), int(b), int(c)) if len(a) == 4 else dt.date(int(c), int(b), int(a))
+            day = dt.date(a, b, c) if sign == "-" else dt.date(c, a, b) if month_first else dt.date(c, b, a)
         except ValueError:
             return None
         if not FIRST_DAY <= day <= LAST_DAY:
             return None
         size = (LAST_DAY - FIRST_DAY).days + 1
-        day = FIRST_DAY + dt.timedelta(self.feistel.permute("date", (day - FIRST_DAY).days, size))
-        return f"{day.year:04d}-{day.month:02d}-{day.day:02d}" if len(a) == 4 else f"{day.day:02d}{sign}{day.month:02d}{sign}{day.year:04d}"
+        while True:
+            day = FIRST_DAY + dt.timedelta(self.feistel.permute("date", (day - FIRST_DAY).days, size))
+            if day.day > 12 or not month_first:
+                break
+        if sign == "-":
+            return f"{day.year:04d}-{day.month:02d}-{day.day:02d}"
+        first, second = (day.month, day.day) if month_first else (day.day, day.month)
+        return f"{first:02d}{sign}{second:02d}{sign}{day.year:04d}"
 
     def replace(self, text: str) -> tuple[str, list[tuple[str, int, int]]]:
         """The text with pseudonyms, and kind, start and end (code points of the new text) of each."""

@@ -126,6 +126,21 @@ def test_pseudonyms(spark):
     assert pseudonyms.pseudonymize(documents(spark, [(1, "")]).where("false")).count() == 0
 
 
+def test_pseudonyms_of_slash_and_mixed_dates(spark):
+    worker = pseudonyms.Pseudonymizer(b"k")
+    mixed = "3/4.2021 and 3.4/2021"
+    assert worker.replace(mixed) == (mixed, [])
+    assert worker.replace("13/25/2020 and 02/30/2020")[1] == []
+    days = [f"{m:02d}/{d:02d}/{y}" for y in range(1999, 2003) for m in range(1, 13) for d in range(1, 29)]
+    days += [f"{d:02d}/{m:02d}/{y}" for y in range(1999, 2003) for m in range(1, 13) for d in range(13, 29)]
+    images = [worker.replace(d) for d in days]
+    assert all(found and new != d for d, (new, found) in zip(days, images, strict=True)) and len({new for new, _ in images}) == len(days)
+    for d, (new, _) in zip(days, images, strict=True):  # month-first dates stay such
+        assert (int(new[3:5]) > 12) == (int(d[3:5]) > 12)
+    rows = pseudonyms.pseudonymize(documents(spark, [(1, mixed), (2, "on 12/25/2020")]), b"k").collect()
+    assert sorted((r.doc_id, r.n_pii) for r in rows) == [(1, 0), (2, 1)]
+
+
 def test_decontamination_by_brute_force(spark):
     rnd = random.Random(9)
     words = [f"w{i}" for i in range(6)]

@@ -40,6 +40,29 @@ MARKED = re.compile(
     r"|bread-?crumbs?|footer|masthead|site-?header|share|sharing|social|related|recommended|comments?|disqus|respond|newsletter|subscribe|sign-?up|login|search|popup|modal|widget|pagination"
     r"|complementary|contentinfo)(?:$|[^a-z])"
 )
+#: Elements that an end tag doesn't reach beyond, but for those of a table's parts.
+SCOPE = ("table", "td", "th", "caption", "object")
+#: Blocks that an inline element's end tag doesn't reach beyond.
+HOLDERS = (*SCOPE, "div", "section", "article", "main", "aside", "nav", "header", "footer", "form", "blockquote", "figure", "ul", "ol", "dl", "body")
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+TABLE_PARTS = ("table", "thead", "tbody", "tfoot", "tr", "td", "th", "caption")
+#: What a start tag ends where end tags are left out, and the elements it doesn't reach beyond.
+ENDS = dict.fromkeys(
+    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form header hgroup hr main menu nav ol p pre search section summary table ul".split() + [*HEADINGS],
+    (("p",), SCOPE),
+) | {
+    "li": (("p", "li"), ("ul", "ol", "menu", "dir", *SCOPE)),
+    "dd": (("p", "dd", "dt"), ("dl", *SCOPE)),
+    "dt": (("p", "dd", "dt"), ("dl", *SCOPE)),
+    "td": (("td", "th"), ("table", "tr")),
+    "th": (("td", "th"), ("table", "tr")),
+    "tr": (("td", "th", "tr", "caption"), ("table",)),
+    **dict.fromkeys(("thead", "tbody", "tfoot"), (("td", "th", "tr", "caption", "thead", "tbody", "tfoot"), ("table",))),
+    "option": (("option",), ("select", "datalist")),
+    "optgroup": (("option", "optgroup"), ("select", "datalist")),
+}
+#: Elements, besides raw ones, that may stand in a head whose end tag is left out.
+IN_HEAD = {"head", "base", "link", "meta"}
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*+(?:>|\Z)|<[a-zA-Z][^>]*+(?:>|\Z)",
     re.DOTALL,
@@ -62,15 +85,49 @@ def lines_of(page: str | None) -> list[Line]:
     page = page or ""
     out: list[Line] = []
     held: list[str] = []
-    skip = ""  # name of the element that is being left out, and how deep it is nested in its like
-    depth = content = at = 0
+    opened: list[tuple[str, bool]] = []  # open elements and whether each holds content; inline ones only where they begin a skip or stand in one
+    places: dict[str, list[int]] = {}  # places of each name in it
+    skip = -1  # place of the element that is being left out
+    content = at = 0
 
     def flush() -> None:
         if held:
             text = " ".join(html.unescape("".join(held)).split())
             held.clear()
             if text:
-                out.append(Line(text, bool(skip), content > 0))
+                out.append(Line(text, skip >= 0, content > 0))
+
+    def last(names: tuple[str, ...]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=-1)
+
+    def cut(place: int) -> None:
+        nonlocal skip, content
+        if place <= skip:
+            flush()
+            skip = -1
+        while len(opened) > place:
+            name, holds = opened.pop()
+            places[name].pop()
+            content -= holds
+
+    def end(names: tuple[str, ...], barriers: tuple[str, ...]) -> None:
+        """End the open elements of these names, and all inside them, that stand above the last barrier."""
+        bound = last(barriers)
+        while (place := last(names)) > bound:
+            cut(place)
+
+    def end_one(name: str) -> None:
+        """An end tag: the last open element of the name, or of any heading."""
+        names = HEADINGS if name in HEADINGS else (name,)
+        if name in INLINE:
+            barriers = HOLDERS
+        elif name in TABLE_PARTS:
+            barriers = () if name == "table" else ("table",)
+        else:
+            barriers = () if name in ("body", "html") else (*SCOPE, "ul", "ol", "menu", "dir") if name == "li" else (*SCOPE, "dl") if name in ("dd", "dt") else SCOPE
+        place = last(names)
+        if place > last(tuple(b for b in barriers if b != name)):
+            cut(place)
 
     while True:
         m = TOKEN.search(page, at)
@@ -83,27 +140,33 @@ def lines_of(page: str | None) -> list[Line]:
             continue
         if name in RAW and not m["close"]:
             if not m["rest"].endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
-                at = end.end() if end else len(page)
+                close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
+                at = close.end() if close else len(page)
             continue
         if name not in INLINE:
             flush()
-        if skip:
-            if name == skip:
-                depth += -1 if m["close"] else 1
-                if not depth:
-                    flush()
-                    skip = ""
-        elif m["close"]:
-            if name in CONTENT or (content and name == "body"):
-                content = max(content - 1, 0)
-        elif name not in VOID:
+        if m["close"]:
+            if places.get(name) or name in HEADINGS:
+                end_one(name)
+            continue
+        if places.get("head") and name not in IN_HEAD:
+            end(("head",), ())
+        if name in ENDS:
+            end(*ENDS[name])
+        if name in VOID:
+            continue
+        begins = holds = False
+        if skip < 0:
             words = " ".join(next(filter(None, a), "") for a in ATTRIBUTE.findall(m["rest"])).lower() if m["rest"] else ""
-            if name in FURNITURE or (words and name not in ("html", "body", *CONTENT) and MARKED.search(words)):
-                flush()
-                skip, depth = name, 1
-            elif name in CONTENT or (words and ROLE_MAIN.search(m["rest"])):
-                content += 1
+            begins = name in FURNITURE or bool(words and name not in ("html", "body", *CONTENT) and MARKED.search(words))
+            holds = not begins and (name in CONTENT or bool(words and ROLE_MAIN.search(m["rest"])))
+        if begins:
+            flush()
+            skip = len(opened)
+        if begins or holds or name not in INLINE or (skip >= 0 and name == opened[skip][0]):
+            places.setdefault(name, []).append(len(opened))
+            opened.append((name, holds))
+            content += holds
     flush()
     return out
 

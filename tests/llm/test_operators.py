@@ -255,6 +255,26 @@ def test_html(spark):
     assert html_text.main_text(pages.where("false")).count() == 0
 
 
+def test_html_without_end_tags():
+    def kept(page):
+        return " ".join(x.text for x in html_text.lines_of(page) if not x.furniture)
+
+    assert kept('<div><p class="share">Share<p>one</p><p>two</p></div><article><p>three</p></article>') == "one two three"
+    assert kept('<div><p class="share">Share</div><p>one</p>') == "one"
+    assert kept('<ul><li class="related">Related<li>one<li>two</ul><p>three') == "one two three"
+    assert kept('<ul><li class="related">Related<ul><li>inner</li></ul>more</li><li>one</li></ul>') == "one"
+    assert kept('<ul><li class="related">Related</ul><article>one</article>') == "one"
+    assert kept('<dl><dt class="ads">a<dd>one<dd class="ads">b<dt>two</dl>three') == "one two three"
+    assert kept('<table><tr><td class="ads">a<td>one<tr class="ads"><td>b<tr><td>two</table>three') == "one two three"
+    assert kept('<table><tr><td class="ads">a<table><tr><td>b</table>c<td>one</table>') == "one"
+    assert kept('<div><div class="ad">a</div><p>one</p><div class="ad">b<div>c</div>d</div>two</div>') == "one two"
+    assert kept('<article><div class="ad">a<p>b</article><p>one</p>') == "one"
+    assert kept('<p>one <span class="share">a<span>b</span>c</span> two</p>') == "one two"
+    assert kept('<html><head><title>t</title><meta name="x"><body><p>one') == "one"
+    assert kept('<h2 class="related">a</h3><p>one</p>') == "one"
+    assert kept('<div class="ad">a</p></span></li>b</div>one') == "one"
+
+
 def test_common_lines_by_brute_force():
     rnd = random.Random(2)
     for _ in range(500):

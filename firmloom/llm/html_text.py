@@ -12,6 +12,7 @@ Only hashes of lines travel between pages, not the pages.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from firmloom.llm.common import hinted, same, stored, table, text_key
 from firmloom.llm.url_filter import host_of, path_of
 from firmloom.session import map_frames
-from firmloom.skew import previous_value
+from firmloom.skew import lookup_join, previous_value
 
 # Element names by what they hold.
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "noembed", "noframes", "xmp"}
@@ -212,53 +213,76 @@ def nearness(path: str, other: str) -> tuple[int, int]:
     return segments, characters
 
 
-def template_lines(own: list[int], sizes: list[int], open_lines: set[int], path: str, neighbours: list[tuple[str, list[int]]]) -> list[int]:
-    """Places of the open lines that the nearest neighbour which isn't a copy shares."""
-    for _, lines in sorted(neighbours, key=lambda n: nearness(path, n[0]), reverse=True):
+def template_lines(own: list[int], sizes: list[int], path: str, neighbours: list[tuple[str, list[int], int]]) -> list[int] | None:
+    """Places of the lines that the nearest neighbour which isn't a copy shares; None if there is no such neighbour.
+
+    Neighbours are (path, lines, characters).  Copies share more than
+    COPY_SHARE of the longer of both pages.
+    """
+    whole = sum(sizes)
+    for _, lines, size in sorted(neighbours, key=lambda n: nearness(path, n[0]), reverse=True):
         shared = common_lines(own, lines)
-        if sum(sizes[i] for i in shared) <= COPY_SHARE * sum(sizes):
-            return sorted(shared & open_lines)
-    return []
+        if sum(sizes[i] for i in shared) <= COPY_SHARE * max(whole, size):
+            return sorted(shared)
+    return None
 
 
 def _hash(text: str) -> int:
-    import hashlib
-
     return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
 
 
+def page_lines(page: str | None) -> list[Line]:
+    """The lines that aren't furniture."""
+    return [x for x in lines_of(page) if not x.furniture]
+
+
 def shared_lines(pages: DataFrame) -> DataFrame:
-    """id, _key and template (places of lines to delete) for the pages of (id, url, html) that have such lines."""
+    """id, _key and template (places, among a page's lines that aren't furniture, to delete) for the pages of (id, url, html) that have such lines.
+
+    Pages of a host with equal lines are one page here: the neighbours of the
+    group are the nearest pages that differ, and their template holds for all
+    its members.
+    """
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             rows = []
-            for page in f["html"]:
-                lines = lines_of(page)
+            for host, page in zip(f["host"], f["html"], strict=True):
+                lines = page_lines(page)
+                hashes = [_hash(x.text) for x in lines]
+                copy = hashlib.blake2b("\0".join([host, *map(str, hashes)]).encode(), digest_size=16).hexdigest()
                 whole = any(x.content for x in lines)
-                free = [i for i, x in enumerate(lines) if not x.furniture and not x.content and not whole]
-                rows.append(([_hash(x.text) for x in lines], [len(x.text) for x in lines], free))
-            yield f[["id", "_key", "host", "path"]].assign(lines=[r[0] for r in rows], sizes=[r[1] for r in rows], free=[r[2] for r in rows])
+                fixed = [i for i, x in enumerate(lines) if whole and x.content]
+                outside = [i for i, x in enumerate(lines) if whole and not x.content]
+                rows.append((copy, hashes, [len(x.text) for x in lines], fixed, outside))
+            f = f[["id", "_key", "host", "path"]]
+            yield f.assign(**{name: [r[i] for r in rows] for i, name in enumerate(("copy", "lines", "sizes", "fixed", "outside"))})
 
     def align(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             found = []
-            for own, sizes, free, path, before, after in zip(f["lines"], f["sizes"], f["free"], f["path"], f["before"], f["after"], strict=True):
-                near = [(n["path"], list(n["lines"])) for n in (before, after) if n is not None]
-                found.append(template_lines(list(own), list(sizes), set(free), path, near))
-            f = f[["id", "_key"]].assign(template=found)
-            yield f[[bool(t) for t in found]]
+            for own, sizes, path, before, after in zip(f["lines"], f["sizes"], f["path"], f["before"], f["after"], strict=True):
+                near = [(n["path"], list(n["lines"]), n["size"]) for n in (before, after) if n is not None]
+                found.append(template_lines(list(own), list(sizes), path, near))
+            f = f[["copy"]].assign(shared=found)
+            yield f[[t is None or bool(t) for t in found]]
 
     kind = pages.schema["id"].dataType.simpleString()
     keyed = pages.withColumns({"_key": page_key(), "host": host_of(F.col("url")), "path": path_of(F.col("url"))})
-    schema = f"id {kind}, _key long, host string, path string, lines array<long>, sizes array<int>, free array<int>"
-    read_rows = map_frames(keyed.select("id", "_key", "host", "path", "html"), read, schema).where(F.size("lines") > 0)
-    ordered = read_rows.repartitionByRange("host", "path", "id", "_key").sortWithinPartitions("host", "path", "id", "_key")
+    schema = f"id {kind}, _key long, host string, path string, copy string, lines array<long>, sizes array<int>, fixed array<int>, outside array<int>"
+    read_rows = stored(map_frames(keyed.select("id", "_key", "host", "path", "html"), read, schema).where(F.size("lines") > 0))
+    first = F.min_by(F.struct("host", "path", "lines", "sizes"), F.struct("path", "id", "_key"))
+    groups = read_rows.groupBy("copy").agg(first.alias("page")).select("copy", "page.*")
+    ordered = stored(groups).repartitionByRange("host", "path", "copy").sortWithinPartitions("host", "path", "copy")
     ranked = stored(ordered.withColumn("rank", F.monotonically_increasing_id())).withColumn("back", -F.col("rank"))
-    ranked = ranked.withColumn("page", F.struct("path", "lines"))
+    size = F.aggregate("sizes", F.lit(0).cast("long"), lambda a, b: a + b)
+    ranked = ranked.withColumn("page", F.struct("path", "lines", size.alias("size")))
     both = previous_value(previous_value(ranked, "host", "rank", "page", "before"), "host", "back", "page", "after")
-    pairs = both.select("id", "_key", "path", "lines", "sizes", "free", "before", "after")
-    return stored(map_frames(pairs, align, f"id {kind}, _key long, template array<int>").dropDuplicates(["id", "_key"]))
+    shared = stored(map_frames(both.select("copy", "path", "lines", "sizes", "before", "after"), align, "copy string, shared array<int>").withColumn("found", F.lit(True)))
+    marks = read_rows.select("id", "_key", "copy", "fixed", "outside")
+    met = lookup_join(marks, shared, "copy", F.col("_key"))
+    template = F.array_union(F.array_except(F.coalesce("shared", F.array().cast("array<int>")), "fixed"), "outside")
+    return stored(met.select("id", "_key", template.alias("template")).where(F.size("template") > 0).dropDuplicates(["id", "_key"]))
 
 
 def page_key():
@@ -269,8 +293,8 @@ def main_text(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
     """page_id, url, text and n_chars of every row of ``pages`` (page_id, url, html).
 
     A null or empty html, or one without text, gives an empty text.  A page
-    whose host has no other page keeps all its lines that aren't furniture, as
-    does one among copies of itself.  URLs without a host are one host of their
+    whose host has no page that differs keeps all its lines that aren't
+    furniture.  URLs without a host are one host of their
     own.  Repeated rows give repeated rows.
     """
 
@@ -278,10 +302,8 @@ def main_text(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
         for f in frames:
             texts = []
             for page, template in zip(f["html"], f["template"], strict=True):
-                lines = lines_of(page)
-                whole = any(x.content and not x.furniture for x in lines)
                 gone = set() if template is None else set(template)
-                texts.append(" ".join(x.text for i, x in enumerate(lines) if not x.furniture and (x.content or not whole) and i not in gone))
+                texts.append(" ".join(x.text for i, x in enumerate(page_lines(page)) if i not in gone))
             yield pd.DataFrame({"id": f["id"], "url": f["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
     rows = pages.select(F.col(page_id).alias("id"), "url", "html")

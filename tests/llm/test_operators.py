@@ -255,6 +255,15 @@ def test_html(spark):
     assert html_text.main_text(pages.where("false")).count() == 0
 
 
+def test_html_template_of_copies_and_stubs(spark):
+    top, end = "<div>Our great shop, open since ever</div>", "<div>Copyright by the shop</div>"
+    rows = [(i, f"http://a.com/p/{i}", f"{top}<nav>menu {i}</nav><p>same text</p>{end}") for i in range(4)]
+    rows += [(9, "http://a.com/q", f"{top}<p>{'other text ' * 40}</p>{end}"), (10, "http://b.com/1", f"{top}<p>hm</p>{end}"), (11, "http://b.com/2", f"{top}<p>{'long text ' * 40}</p>{end}")]
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in (0, 1, 2, 3, 10)] == ["same text"] * 4 + ["hm"]
+    assert got[9] == ("other text " * 40).strip() and got[11] == ("long text " * 40).strip()
+
+
 def test_html_without_end_tags():
     def kept(page):
         return " ".join(x.text for x in html_text.lines_of(page) if not x.furniture)

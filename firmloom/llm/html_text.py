@@ -3,9 +3,11 @@
 Every page is cut into lines of text, one per block element.  Within a host the
 pages are ordered by URL path, and each is paired with the nearer of its two
 neighbours.  The lines of both are aligned by longest common subsequence, and a
-line that both share is template text: it goes, unless it stands in an article
-or main element, whose lines are the page's own.  Lines of elements that say
-themselves what they are (menus, footers, forms, adverts ...) go in any case.
+line that both share is template text and goes, be it inside or outside an
+article or main element.  Lines of elements that say themselves what they are
+(menus, footers, forms, adverts ...) go in any case.  Only where no page of the
+host differs, a main element that holds most of the text stands in for the
+alignment.
 
 Only hashes of lines travel between pages, not the pages.
 """
@@ -78,7 +80,7 @@ COPY_SHARE = 0.9
 class Line:
     text: str
     furniture: bool
-    content: bool
+    main: bool
 
 
 def lines_of(page: str | None) -> list[Line]:
@@ -86,30 +88,30 @@ def lines_of(page: str | None) -> list[Line]:
     page = page or ""
     out: list[Line] = []
     held: list[str] = []
-    opened: list[tuple[str, bool]] = []  # open elements and whether each holds content; inline ones only where they begin a skip or stand in one
+    opened: list[tuple[str, bool]] = []  # open elements and whether each is a main element; inline ones only where they begin a skip or stand in one
     places: dict[str, list[int]] = {}  # places of each name in it
     skip = -1  # place of the element that is being left out
-    content = at = 0
+    mains = at = 0
 
     def flush() -> None:
         if held:
             text = " ".join(html.unescape("".join(held)).split())
             held.clear()
             if text:
-                out.append(Line(text, skip >= 0, content > 0))
+                out.append(Line(text, skip >= 0, mains > 0))
 
     def last(names: tuple[str, ...]) -> int:
         return max((places[n][-1] for n in names if places.get(n)), default=-1)
 
     def cut(place: int) -> None:
-        nonlocal skip, content
+        nonlocal skip, mains
         if place <= skip:
             flush()
             skip = -1
         while len(opened) > place:
             name, holds = opened.pop()
             places[name].pop()
-            content -= holds
+            mains -= holds
 
     def end(names: tuple[str, ...], barriers: tuple[str, ...]) -> None:
         """End the open elements of these names, and all inside them, that stand above the last barrier."""
@@ -160,14 +162,14 @@ def lines_of(page: str | None) -> list[Line]:
         if skip < 0:
             words = " ".join(next(filter(None, a), "") for a in ATTRIBUTE.findall(m["rest"])).lower() if m["rest"] else ""
             begins = name in FURNITURE or bool(words and name not in ("html", "body", *CONTENT) and MARKED.search(words))
-            holds = not begins and (name in CONTENT or bool(words and ROLE_MAIN.search(m["rest"])))
+            holds = not begins and (name == "main" or bool(words and ROLE_MAIN.search(m["rest"])))
         if begins:
             flush()
             skip = len(opened)
         if begins or holds or name not in INLINE or (skip >= 0 and name == opened[skip][0]):
             places.setdefault(name, []).append(len(opened))
             opened.append((name, holds))
-            content += holds
+            mains += holds
     flush()
     return out
 
@@ -251,12 +253,11 @@ def shared_lines(pages: DataFrame) -> DataFrame:
                 lines = page_lines(page)
                 hashes = [_hash(x.text) for x in lines]
                 copy = hashlib.blake2b("\0".join([host, *map(str, hashes)]).encode(), digest_size=16).hexdigest()
-                whole = any(x.content for x in lines)
-                fixed = [i for i, x in enumerate(lines) if whole and x.content]
-                outside = [i for i, x in enumerate(lines) if whole and not x.content]
-                rows.append((copy, hashes, [len(x.text) for x in lines], fixed, outside))
+                sizes = [len(x.text) for x in lines]
+                most = 2 * sum(n for x, n in zip(lines, sizes, strict=True) if x.main) > sum(sizes)
+                rows.append((copy, hashes, sizes, [i for i, x in enumerate(lines) if most and not x.main]))
             f = f[["id", "_key", "host", "path"]]
-            yield f.assign(**{name: [r[i] for r in rows] for i, name in enumerate(("copy", "lines", "sizes", "fixed", "outside"))})
+            yield f.assign(**{name: [r[i] for r in rows] for i, name in enumerate(("copy", "lines", "sizes", "outside"))})
 
     def align(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -269,7 +270,7 @@ def shared_lines(pages: DataFrame) -> DataFrame:
 
     kind = pages.schema["id"].dataType.simpleString()
     keyed = pages.withColumns({"_key": page_key(), "host": host_of(F.col("url")), "path": path_of(F.col("url"))})
-    schema = f"id {kind}, _key long, host string, path string, copy string, lines array<long>, sizes array<int>, fixed array<int>, outside array<int>"
+    schema = f"id {kind}, _key long, host string, path string, copy string, lines array<long>, sizes array<int>, outside array<int>"
     read_rows = stored(map_frames(keyed.select("id", "_key", "host", "path", "html"), read, schema).where(F.size("lines") > 0))
     first = F.min_by(F.struct("host", "path", "lines", "sizes"), F.struct("path", "id", "_key"))
     groups = read_rows.groupBy("copy").agg(first.alias("page")).select("copy", "page.*")
@@ -279,9 +280,9 @@ def shared_lines(pages: DataFrame) -> DataFrame:
     ranked = ranked.withColumn("page", F.struct("path", "lines", size.alias("size")))
     both = previous_value(previous_value(ranked, "host", "rank", "page", "before"), "host", "back", "page", "after")
     shared = stored(map_frames(both.select("copy", "path", "lines", "sizes", "before", "after"), align, "copy string, shared array<int>").withColumn("found", F.lit(True)))
-    marks = read_rows.select("id", "_key", "copy", "fixed", "outside")
+    marks = read_rows.select("id", "_key", "copy", "outside")
     met = lookup_join(marks, shared, "copy", F.col("_key"))
-    template = F.array_union(F.array_except(F.coalesce("shared", F.array().cast("array<int>")), "fixed"), "outside")
+    template = F.when(F.col("found") & F.col("shared").isNull(), F.col("outside")).otherwise(F.col("shared"))
     return stored(met.select("id", "_key", template.alias("template")).where(F.size("template") > 0).dropDuplicates(["id", "_key"]))
 
 
@@ -294,7 +295,7 @@ def main_text(pages: DataFrame, page_id: str = "page_id") -> DataFrame:
 
     A null or empty html, or one without text, gives an empty text.  A page
     whose host has no page that differs keeps all its lines that aren't
-    furniture.  URLs without a host are one host of their
+    furniture, or those of its main element if that holds most of the text.  URLs without a host are one host of their
     own.  Repeated rows give repeated rows.
     """
 

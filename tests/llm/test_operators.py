@@ -255,6 +255,16 @@ def test_html(spark):
     assert html_text.main_text(pages.where("false")).count() == 0
 
 
+def test_html_alignment_decides_inside_and_outside_articles(spark):
+    notice = "<p>Subscribers read on without adverts</p>"
+    teasers = "<article>teaser {0}</article><div>The body of page {0} is long and plain</div><article class='comment'>comment {0}</article>"
+    rows = [(i, f"http://a.com/{i}", f"<article><p>first {i}</p>{notice}<p>last {i}</p></article><div>Terms of use</div>") for i in range(2)]
+    rows += [(10 + i, f"http://b.com/{i}", teasers.format(i)) for i in range(2)] + [(20, "http://c.com/", teasers.format(7))]
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in (0, 1)] == ["first 0 last 0", "first 1 last 1"]
+    assert all(f"The body of page {n} is long and plain" in got[i] for i, n in ((10, 0), (11, 1), (20, 7)))
+
+
 def test_html_template_of_copies_and_stubs(spark):
     top, end = "<div>Our great shop, open since ever</div>", "<div>Copyright by the shop</div>"
     rows = [(i, f"http://a.com/p/{i}", f"{top}<nav>menu {i}</nav><p>same text</p>{end}") for i in range(4)]

@@ -31,14 +31,27 @@ MASK = "[SECRET]"
 #: Characters kept on either side of a candidate to look for neighbouring words.
 REACH = 60
 
+SHAPES = (
+    r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,}|\bxox[abeprs]-[A-Za-z0-9\-]{10,}|\bsk[-_][A-Za-z0-9_\-]{20,}|\bAIza[0-9A-Za-z_\-]{35}"
+    r"|\beyJ[A-Za-z0-9_\-]{8,}\.eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]*"
+)
+KNOWN = re.compile(SHAPES)
+NAME = r"[A-Za-z_][A-Za-z0-9_.\-]*+"
+START = r"(?<![A-Za-z0-9_.\-])"
+SIGN = r"[\"']?\s*+(?::=|=>|=|:)\s*+"
 CANDIDATE = re.compile(
     r"(?P<block>-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:(?!-----)[\s\S])*(?:-----END [A-Z ]{0,40}PRIVATE KEY-----)?)"
-    r"|(?P<known>\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,}|\bxox[abeprs]-[A-Za-z0-9\-]{10,}|\bsk[-_][A-Za-z0-9_\-]{20,}|\bAIza[0-9A-Za-z_\-]{35}"
-    r"|\beyJ[A-Za-z0-9_\-]{8,}\.eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]*)"
-    r"|(?<![A-Za-z0-9_.\-])(?P<name>[A-Za-z_][A-Za-z0-9_.\-]{1,40})[\"']?\s{0,3}(?::=|=>|=|:)\s{0,3}(?P<quote>[\"']?)(?P<value>[A-Za-z0-9+/_=.$!@#%^&*~\-]{8,})"
+    rf"|(?P<known>{SHAPES})"
+    rf"|{START}(?P<name>{NAME}){SIGN}(?P<quote>[\"']?)(?!-----BEGIN )(?P<value>[A-Za-z0-9+/_=.$!@#%^&*~\-]{{8,}})"
     r"|(?<![A-Za-z0-9+/_=\-])(?P<bare>[A-Za-z0-9+/_=\-]{20,})(?![A-Za-z0-9+/_=\-])"
 )
-HINT = re.compile(r"[=:]|-----BEGIN|[A-Za-z0-9+/_=\-]{16}")
+#: Within a value: a name that is assigned what follows, and a name at its end that may be assigned what stands after it.
+INNER = re.compile(rf"{START}(?P<name>{NAME})=(?=[A-Za-z0-9+/_.$!@#%^&*~\-]{{8}})")
+LAST_NAME = re.compile(rf"{START}{NAME}(?==?\Z)")
+ASSIGNED = re.compile(rf"(?P<name>{NAME}){SIGN}[\"']?[A-Za-z0-9+/_.$!@#%^&*~\-]{{8}}")
+TOKEN_HEAD = re.compile(r"\beyJ")
+LEAST_VALUE, LEAST_BARE = 8, 20
+HINT = re.compile(r"[=:]|-----BEGIN|[A-Za-z0-9+/_=\-]{15}")
 # Words that speak for or against a secret nearby.
 CREDENTIAL = re.compile(r"token|secret|passw|pwd|passphrase|api[_\-]?key|access[_\-]?key|auth|bearer|credential|private|signature|client[_\-]?id|\bkey\b", re.IGNORECASE)
 HARMLESS = re.compile(r"example|sample|dummy|placeholder|changeme|your[_\-]|xxxx|fake|mock|commit|sha-?\d|md5|checksum|uuid|revision|digest|integrity|http|www\.", re.IGNORECASE)
@@ -84,7 +97,7 @@ def describe(value: str, kind: str, name: str, quoted: bool, before: str, after:
     return [
         float(n), sum(a != b for a, b in zip(classes, classes[1:], strict=False)) / max(n - 1, 1),
         classes.count(2) / n, classes.count(1) / n, classes.count(3) / n, entropy, coverage(value, words),
-        float(kind in ("known", "block")), float(kind == "value"), float(quoted), float(bool(CREDENTIAL.search(name))),
+        float(kind in ("known", "block") or bool(KNOWN.search(value))), float(kind == "value"), float(quoted), float(bool(CREDENTIAL.search(name))),
         float(bool(CREDENTIAL.search(near))), float(bool(HARMLESS.search(f"{name} {near}"))), float(bool(HARMLESS.search(value))), float(bool(TEST_PATH.search(path))),
     ]
 
@@ -102,6 +115,66 @@ def plain_label(f: list[float], value: str) -> int | None:
     return None
 
 
+def before_block(text: str, end: int) -> int:
+    """``end`` of a value, or the start of a key block whose first word the value took."""
+    return end - len("-----BEGIN") if text.startswith("-----BEGIN ", end - len("-----BEGIN")) else end
+
+
+def assignments(text: str, m: re.Match) -> tuple[list[tuple[str, int, int, int]], int]:
+    """The assignments (name, its start, start and end of the value) in a match of name and value, and where to read on.
+
+    A value that holds names and = signs is split at them, so each value has the
+    last name before it.  Under a name that speaks of a credential only such
+    names split: = may be a character of the secret.  A name at the end of the
+    value that is itself assigned what follows is no value; = before white space
+    or the closing quote is padding instead, unless the name speaks of a credential.
+    """
+    a, b = m.start("value"), before_block(text, m.end("value"))
+    outer = bool(CREDENTIAL.search(m["name"]))
+    out = []
+    name, begin, at = m["name"], m.start("name"), a
+    for inner in INNER.finditer(text, a, b):
+        if outer and not CREDENTIAL.search(inner["name"]):
+            continue
+        out.append((name, begin, at, inner.start()))
+        name, begin, at = inner["name"], inner.start(), inner.end()
+    end = b
+    tail = LAST_NAME.search(text, at, b)
+    follows = ASSIGNED.match(text, tail.start()) if tail else None
+    if follows:
+        padding = text.startswith("=", tail.end()) and (text[tail.end() + 1 : tail.end() + 2].isspace() or bool(m["quote"]) and text.startswith(m["quote"], tail.end() + 1))
+        if not padding or CREDENTIAL.search(follows["name"]):
+            end = tail.start()
+    out.append((name, begin, at, end))
+    spans = [(n, s, x, x + len(text[x:y].rstrip("&"))) if y < b else (n, s, x, y) for n, s, x, y in out]
+    return [o for o in spans if o[3] - o[2] >= LEAST_VALUE], end
+
+
+def found_in(text: str) -> Iterator[tuple[str, int, int, str, bool, int, int]]:
+    """Kind, start and end of each candidate, its name, whether it is quoted, and the bounds of what lies before and after it."""
+    at = 0
+    while m := CANDIDATE.search(text, at):
+        kind = next(k for k in ("block", "known", "value", "bare") if m[k])
+        a, b = m.span(kind)
+        at = m.end()
+        if kind == "value":
+            if len(m["name"]) > LEAST_VALUE and (k := KNOWN.search(text, *m.span("name"))):
+                yield "known", *k.span(), "", False, *k.span()
+            spans, at = assignments(text, m)
+            for name, begin, x, y in spans:
+                yield kind, x, y, name, bool(m["quote"]) and x == a, begin, y
+            continue
+        if kind == "bare":
+            at = b = before_block(text, b)
+            if b - a < LEAST_BARE:
+                continue
+        if kind == "bare" and text.startswith(".eyJ", b):  # a web token goes on behind its dot
+            head = TOKEN_HEAD.search(text, a, b)
+            whole = KNOWN.match(text, head.start()) if head else None
+            at = b = whole.end() if whole else b
+        yield kind, a, b, "", False, m.start(), b
+
+
 def candidates(docs: DataFrame, dictionary: str, text: str = "text", id_column: str = "doc_id", path: str = "source") -> DataFrame:
     """One row per candidate: id, _key, start, end (code points), kind, sha256 of the value, features, label (or null)."""
 
@@ -112,10 +185,9 @@ def candidates(docs: DataFrame, dictionary: str, text: str = "text", id_column:
             for ident, key, whole, where in zip(f["id"], f["_key"], f["text"], f["path"], strict=True):
                 if not isinstance(whole, str) or not HINT.search(whole):
                     continue
-                for m in CANDIDATE.finditer(whole):
-                    kind = next(k for k in ("block", "known", "value", "bare") if m[k])
-                    value, (a, b) = m[kind], m.span(kind)
-                    made = describe(value, kind, m["name"] or "", bool(m["quote"]), whole[max(m.start() - REACH, 0) : m.start()], whole[b : b + REACH], where or "", words)
+                for kind, a, b, name, quoted, begin, end in found_in(whole):
+                    value = whole[a:b]
+                    made = describe(value, kind, name, quoted, whole[max(begin - REACH, 0) : begin], whole[end : end + REACH], where or "", words)
                     rows.append((ident, key, a, b, kind, hashlib.sha256(value.encode()).hexdigest(), made, plain_label(made, value)))
             out = pd.DataFrame(rows, columns=["id", "_key", "start", "end", "kind", "value_sha256", "features", "label"])
             yield out.astype({"label": "Float64"})

@@ -108,6 +108,26 @@ def test_secrets(spark, mixed):
     assert secret_scan.redact(docs.where("false"), findings).count() == 0
 
 
+def test_secrets_of_known_shape_under_neutral_names(spark):
+    body = hashlib.sha512(b"k").hexdigest()
+    block = f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----"
+    shapes = ["AKIA" + body[:16].upper(), "ghp_" + body[:36], "xoxb-" + body[:20], "sk-" + body[:30], "AIza" + body[:35], f"eyJ{body[:20]}.eyJ{body[20:50]}.{body[50:70]}", block]
+    forms = ["ID_OF = {}", "slack: {}", 'cfg => "{}"', "x={}", "env: OTHER={}", f"{'n' * 60}: {{}}", "thing{}= {{}}".format(" " * 9), "q=12345678&r={}", "a/b/{}"]
+    cases = [(form.format(v), v) for v in shapes for form in forms]
+    cases = [c for c in cases if not (c[0].startswith("a/b/") and c[1] == block)]
+    text = body[:32]
+    cases += [(f.format(text), text) for f in ("env: API_KEY={}", "env: API_KEY_NAME = {}", "some_name: API_KEY_NAME: {}", "q=12345678&api_key={}", "PASSWORD        = {}")]
+    cases += [("token = QUJDREVGR0g5PQab12=\nsomething_long", "QUJDREVGR0g5PQab12="), ("password = Abc=12345678defgh9Q", "Abc=12345678defgh9Q")]
+    rows = secret_scan.candidates(documents(spark, [(i, c) for i, (c, _) in enumerate(cases)]), VOCABULARY).collect()
+    got = {}
+    for r in rows:
+        if r.label == 1:
+            got.setdefault(r.id, []).append(cases[r.id][0][r["start"] : r["end"]])
+    wrong = [(c, got.get(i)) for i, (c, v) in enumerate(cases) if not any(v in x for x in got.get(i, []))]
+    assert wrong == []
+    assert secret_scan.CANDIDATE.search("PASSWORD        = hunter2hunter2x")["value"] == "hunter2hunter2x"
+
+
 def test_pseudonyms(spark):
     worker = pseudonyms.Pseudonymizer(b"k")
     for size in (1, 2, 10, 97):

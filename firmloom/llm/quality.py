@@ -23,8 +23,10 @@ COMMON_WORDS = {
     "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an er".split(),
     "es": "de la que el en y a los del se las por un para con no una su al lo como más o es".split(),
 }
-#: Name of the reference for documents without one of the languages above: all documents together.
+#: Name of the reference for documents whose language has none of its own: all documents together.
 ALL = "*"
+#: A language without a word list has a reference of its own from this many documents fit for one.
+MIN_REFERENCE_DOCS = 50
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Documents with fewer code points or words are too short for the comparison.
@@ -44,10 +46,11 @@ def _dropped(text: Column, pattern: str) -> Column:
 def char_classes(text: Column) -> Column:
     """classes: counts of lower-case letters and digits, spaces, upper-case letters, punctuation, all other code points; n_symbols.
 
+    Letters without case and combining marks count as lower-case letters.
     Digits stand with the letters: numbers and keys in a text don't make it junk.
     Each step takes its class out, so the later ones see short remainders.
     """
-    steps = [r"[\p{Ll}\p{Nd}]+", f"[{SPACE_CLASS}]+", r"\p{Lu}+", r"[.,;:!?'\"()\-]+"]
+    steps = [r"[\p{Ll}\p{Lo}\p{Lm}\p{M}\p{Nd}]+", f"[{SPACE_CLASS}]+", r"[\p{Lu}\p{Lt}]+", r"[.,;:!?'\"()\-]+"]
 
     def walk(left: Column, rest: list[str], counts: list[Column]) -> Column:
         if not rest:
@@ -155,9 +158,9 @@ def js_distance(counts: Column, reference: Column) -> Column:
 
 
 def references(fit: DataFrame) -> DataFrame:
-    """One row per language list and one for all documents: summed shares of character classes and common words.
+    """One row per language with a reference of its own and one for all documents: summed shares of character classes and common words.
 
-    At most as many rows as COMMON_WORDS has languages, and one more.
+    At most as many rows as COMMON_WORDS has languages, one for each MIN_REFERENCE_DOCS documents, and one more.
     """
 
     def shares(name: str) -> Column:
@@ -188,8 +191,9 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", carry
     base_failed, char_distance, word_distance (null where not applied) and kept
     are added to the columns ``carry`` (all but the text by default; columns of
     those names are replaced).  A null or empty text has no words and fails the
-    base rules.  A null or unknown language is compared with all documents'
-    characters and not by words.  Repeated rows are judged alike; with no
+    base rules.  A language without a word list is compared by characters and
+    not by words, with its own documents, or with all documents if it is null
+    or has too few.  Repeated rows are judged alike; with no
     document to learn a reference from, only the base rules hold.
     """
     made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", "kept"]
@@ -198,8 +202,12 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", carry
     failed = (F.col("_m.n_words") < MIN_WORDS) | (100 * F.col("_m.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("_m.n_words"))
     counted = stored(measured(rows).drop("text").withColumn("base_failed", failed))
     known = F.col("lang").isin(*COMMON_WORDS)
-    counted = counted.withColumn("_ref", F.when(known, F.col("lang")).otherwise(F.lit(ALL)))
-    fit = counted.where(~F.col("base_failed") & (total(F.col("_m.chars")) >= MIN_CHARS))
+    long_enough = ~F.col("base_failed") & (total(F.col("_m.chars")) >= MIN_CHARS)
+    others = counted.where(long_enough & ~known & (F.col("lang") != ALL)).groupBy("lang").count().where(F.col("count") >= MIN_REFERENCE_DOCS)
+    own = hinted(stored(others.select(F.col("lang").alias("_own"))))
+    counted = counted.join(own, F.col("lang") == F.col("_own"), "left")
+    counted = counted.withColumn("_ref", F.when(known, F.col("lang")).otherwise(F.coalesce("_own", F.lit(ALL)))).drop("_own")
+    fit = counted.where(long_enough)
     met = counted.join(references(central(fit)), "_ref", "left")
     judged = met.withColumn(
         "char_distance", F.when(total(F.col("_m.chars")) >= MIN_CHARS, js_distance(F.col("_m.chars"), F.col("_c")))

@@ -79,6 +79,28 @@ def test_quality(spark, mixed):
     assert quality.quality_rules(mixed.where("false")).count() == 0
 
 
+def test_quality_of_other_scripts(spark):
+    rnd = random.Random(8)
+
+    def text(letters, n=120):
+        return " ".join("".join(rnd.choice(letters) for _ in range(rnd.randrange(3, 8))) for _ in range(n))
+
+    few = {"hi": "कखगघचजटडतदनपमयरलवसह" + "ािीुे्", "ar": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي", "th": "กขคงจชซดตถทนบปผพมยรลวสหอ", "ko": "가나다라마바사아자차카타파하", "zh": "的一是不了人我在有他这为之大来以个中上们", "he": "אבגדהוזחטיכלמנסעפצקרשת"}
+    rows = [(i, prose(rnd, 200), "en") for i in range(100)]
+    rows += [(1000 + 10 * k + i, text(v), n) for k, (n, v) in enumerate(few.items()) for i in range(3)]
+    up = [(2000 + i, text("ABCDEFGHIJ"), "up") for i in range(quality.MIN_REFERENCE_DOCS)] + [(3000, text("ABCDEFGHIJ"), None), (3001, text("ABCDEFGHIJ"), "rare")]
+
+    def verdicts(docs):
+        got = quality.quality_rules(spark.createDataFrame(docs, "doc_id long, text string, lang string"), carry=("doc_id",)).collect()
+        assert len(got) == len(docs)
+        return {r.doc_id: r.kept for r in got}
+
+    kept = verdicts(rows)
+    assert [(n, i) for i, _, n in rows if n in few and not kept[i]] == []
+    kept = verdicts(rows[:100] + up)
+    assert all(kept[2000 + i] for i in range(quality.MIN_REFERENCE_DOCS)) and not kept[3000] and not kept[3001]
+
+
 def test_repeated_words_by_brute_force(spark):
     rnd = random.Random(5)
     texts = [" ".join(rnd.choice("abc") for _ in range(rnd.randrange(30))) for _ in range(60)]

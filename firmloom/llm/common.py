@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from firmloom.session import ensure_checkpoint_dir
@@ -58,3 +59,27 @@ def hinted(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
 def with_columns_first(df: DataFrame, names: Iterable[str]) -> DataFrame:
     names = list(names)
     return df.select(*names, *[c for c in df.columns if c not in names])
+
+
+#: Bits of a hashed set: 8 MB wherever it is used, whatever the size of the data.
+HASHED_BITS = 26
+
+
+def hashed_set(hashes: DataFrame) -> np.ndarray:
+    """Bitmap of a one-column table of 64-bit hashes, of fixed size.
+
+    ``may_hold`` finds every member; it takes others for members as often as
+    bits are set, so a larger set costs later work and never a result.  One row
+    per 64 bits at most reaches the driver.
+    """
+    spot = hashes.select(F.shiftrightunsigned(F.col(hashes.columns[0]), 64 - HASHED_BITS).alias("spot"))
+    words = spot.groupBy(F.shiftright("spot", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, int(spot & 63)))").alias("bits")).toArrow()
+    bitmap = np.zeros(1 << (HASHED_BITS - 6), np.uint64)
+    bitmap[words["at"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return bitmap
+
+
+def may_hold(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """For each 64-bit hash, whether the set may hold it (never False for a member)."""
+    spot = hashes.view(np.uint64) >> np.uint64(64 - HASHED_BITS)
+    return (bitmap[spot >> np.uint64(6)] >> (spot & np.uint64(63))) & np.uint64(1) == 1

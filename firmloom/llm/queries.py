@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from firmloom.llm import sql
+from firmloom.llm.bottom_k import op11_bottom_k
 from firmloom.llm.bpe import op10_bpe
 from firmloom.llm.byte_cnn import op8_quality
 from firmloom.llm.decontaminate import op5_decontamination
@@ -25,10 +26,12 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_html_text": op9_html_text,
     "op10_bpe": op10_bpe,
+    "op11_bottom_k": op11_bottom_k,
 }
 SQL = {
     "op2_quality": sql.quality_sql(),
     "op5_decontamination": sql.decontamination_sql(),
     "op6_warc": sql.warc_sql(),
     "op7_jaccard": sql.jaccard_sql(),
+    "op11_bottom_k": sql.bottom_k_sql(),
 }

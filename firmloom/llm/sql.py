@@ -115,3 +115,7 @@ def jaccard_sql(words: int = 3, percent: int = 90) -> str:
     SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.c AS component_id
     FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(near) AS c FROM reach GROUP BY doc_id) r USING (doc_id)
     """
+
+
+def bottom_k_sql() -> str:
+    return f"SELECT *, doc_id = component_id AS kept FROM ({jaccard_sql(3, 85)})"

@@ -7,6 +7,7 @@ from firmloom.llm.bottom_k import op11_bottom_k
 from firmloom.llm.bpe import op10_bpe
 from firmloom.llm.byte_cnn import op8_quality
 from firmloom.llm.decontaminate import op5_decontamination
+from firmloom.llm.hard_negatives import op12_hard_negatives
 from firmloom.llm.html_text import op9_html_text
 from firmloom.llm.jaccard import op7_jaccard
 from firmloom.llm.pseudonyms import op4_pseudonyms
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_html_text": op9_html_text,
     "op10_bpe": op10_bpe,
     "op11_bottom_k": op11_bottom_k,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 SQL = {
     "op2_quality": sql.quality_sql(),
@@ -34,4 +36,5 @@ SQL = {
     "op6_warc": sql.warc_sql(),
     "op7_jaccard": sql.jaccard_sql(),
     "op11_bottom_k": sql.bottom_k_sql(),
+    "op12_hard_negatives": sql.hard_negatives_sql(),
 }

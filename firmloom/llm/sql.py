@@ -119,3 +119,19 @@ def jaccard_sql(words: int = 3, percent: int = 90) -> str:
 
 def bottom_k_sql() -> str:
     return f"SELECT *, doc_id = component_id AS kept FROM ({jaccard_sql(3, 85)})"
+
+
+def hard_negatives_sql() -> str:
+    return """
+    WITH e AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    a AS (SELECT * FROM e WHERE vec_id % 100 = 0),
+    scored AS MATERIALIZED (SELECT a.r AS ar, a.vec_id AS anchor_id, a.label = e.label AS same, e.r, e.vec_id,
+        coalesce(list_sum(list_transform(range(1, least(len(a.v), len(e.v)) + 1), lambda i: a.v[i] * e.v[i])), 0)::BIGINT AS s FROM a JOIN e ON a.r <> e.r),
+    pos AS (SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY ar ORDER BY s DESC, vec_id, r) <= 5),
+    ranked AS (SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.s AS positive_score, n.s AS negative_score,
+        row_number() OVER (PARTITION BY p.ar, p.r ORDER BY n.s DESC, n.vec_id, n.r) AS rank
+        FROM pos p JOIN scored n ON p.ar = n.ar AND NOT n.same AND 80 * p.s::HUGEINT <= 100 * n.s::HUGEINT AND n.s <= p.s)
+    SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+    """

@@ -6,6 +6,7 @@ from firmloom.llm import sql
 from firmloom.llm.bottom_k import op11_bottom_k
 from firmloom.llm.bpe import op10_bpe
 from firmloom.llm.byte_cnn import op8_quality
+from firmloom.llm.collocations import op13_collocations
 from firmloom.llm.decontaminate import op5_decontamination
 from firmloom.llm.hard_negatives import op12_hard_negatives
 from firmloom.llm.html_text import op9_html_text
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_bpe": op10_bpe,
     "op11_bottom_k": op11_bottom_k,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_collocations": op13_collocations,
 }
 SQL = {
     "op2_quality": sql.quality_sql(),
@@ -37,4 +39,5 @@ SQL = {
     "op7_jaccard": sql.jaccard_sql(),
     "op11_bottom_k": sql.bottom_k_sql(),
     "op12_hard_negatives": sql.hard_negatives_sql(),
+    "op13_collocations": sql.collocations_sql(),
 }

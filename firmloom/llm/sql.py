@@ -135,3 +135,22 @@ def hard_negatives_sql() -> str:
         FROM pos p JOIN scored n ON p.ar = n.ar AND NOT n.same AND 80 * p.s::HUGEINT <= 100 * n.s::HUGEINT AND n.s <= p.s)
     SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
     """
+
+
+def collocations_sql() -> str:
+    return rf"""
+    WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER.format("text")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents WHERE text IS NOT NULL),
+    runs AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+    grams AS MATERIALIZED (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+        FROM runs, (VALUES (1), (2), (3), (4)) AS s(k), unnest(range(1, len(w) - k + 2)) AS r(i) GROUP BY ALL),
+    totals AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE k = 1 GROUP BY lang),
+    found AS MATERIALIZED (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE k > 1 AND f >= 30),
+    cuts AS (SELECT c.lang, c.phrase, c.a, i, x.f AS l, y.f AS r, ((2000000::HUGEINT * c.a) // (x.f + y.f))::BIGINT AS score FROM found c, unnest(range(1, c.k)) AS u(i)
+        JOIN grams x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:i], ' ') JOIN grams y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[i + 1:], ' ')),
+    least AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+    covered AS (SELECT s.lang, s.phrase FROM found s JOIN found b ON s.lang = b.lang AND b.k > s.k AND 100::HUGEINT * b.a >= 80::HUGEINT * s.a
+        AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' ')),
+    ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+        FROM least WHERE (lang, phrase) NOT IN (SELECT (lang, phrase) FROM covered))
+    SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """

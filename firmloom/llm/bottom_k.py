@@ -13,6 +13,9 @@ quantile ``TAIL`` of that distribution: a linked pair is missed with a
 probability of 1 in 10^12.  Sets of up to ``k`` shingles are their own sketch,
 and for them nothing is estimated.
 
+Classes that share too few kept values with all others together drop out first;
+the lists of the rest are drawn from wider sketches, which tell more apart.
+
 Groups of many near copies don't become all their pairs: each class first meets
 the most central class of each of its lists, and then only classes that aren't
 connected yet.  What is found is the whole partition into connected groups.
@@ -31,8 +34,8 @@ from firmloom.llm.common import hashed_set, may_hold, stored, table, text_key
 from firmloom.llm.jaccard import Shingler, class_of, connected
 from firmloom.session import map_frames
 
-#: Values that a sketch keeps.
-K = 96
+#: Values that a sketch keeps, and that the wider sketch of a class keeps that may link at all.
+K, WIDE = 96, 512
 #: Probability with which the estimate may miss a linked pair.
 TAIL = 1e-12
 #: Most shingles that a task holds before it hands them on (8 bytes each).
@@ -74,21 +77,33 @@ def read_sketches(docs: DataFrame, words: int, k: int) -> tuple[DataFrame, DataF
     return rows.drop("sketch"), stored(classes)
 
 
-def inverted_lists(classes: DataFrame, percent: int, k: int) -> DataFrame:
-    """value, cls, n, known, rest, least, central: the lists of kept values on which classes may meet.
+def least_shared(n: Column, percent: int, k: int) -> Column:
+    """Fewest values that a set of ``n`` shares with the sketch of any set it links to."""
+    # up to this size a partner's sketch is whole too
+    return F.when(n * 100 <= percent * k, F.ceil(n * percent / 100)).otherwise(fewest_shared(k, percent)).cast("int")
+
+
+def live_classes(classes: DataFrame, percent: int, k: int) -> DataFrame:
+    """cls of the classes that share enough kept values with others, whichever these are, to link at all."""
+    values = classes.select("cls", "n", F.explode("sketch").alias("value"))
+    often = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("value")
+    held = values.join(often, "value", "left_semi").groupBy("cls").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("live"))
+    return stored(held.where(F.col("live") >= least_shared(F.col("n"), percent, k)).select("cls"))
+
+
+def inverted_lists(sets: DataFrame, percent: int, k: int) -> DataFrame:
+    """value, cls, n, known, rest, least, central: the lists of kept values on which live classes may meet.
 
     A class holds its values rarest first.  Two classes that link share at least
     ``least`` values, so they meet within the first values of both, and values
     that no other class holds can be left out beforehand.  ``known`` counts the
     shared values before this one, ``rest`` those from it on.
     """
-    values = classes.select("cls", "n", F.explode("sketch").alias("value"))
+    values = sets.select("cls", F.size("shingles").alias("n"), F.explode(F.slice("shingles", 1, k)).alias("value"))
     often = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    # up to this size a partner's sketch is whole too
-    least = F.when(F.col("n") * 100 <= percent * k, F.ceil(F.col("n") * percent / 100)).otherwise(fewest_shared(k, percent)).cast("int")
     own = W.partitionBy("cls")
     held = values.join(often, "value").withColumn("known", F.row_number().over(own.orderBy("df", "value")) - 1)
-    held = held.withColumn("live", F.count(F.lit(1)).over(own)).withColumn("least", least)
+    held = held.withColumn("live", F.count(F.lit(1)).over(own)).withColumn("least", least_shared(F.col("n"), percent, k))
     held = held.withColumn("central", F.avg(F.log2("df")).over(own)).where(F.col("known") <= F.col("live") - F.col("least"))
     return shared(stored(held.select("value", "cls", "n", "known", (F.col("live") - F.col("known")).alias("rest"), "least", "central")), "cls")
 
@@ -150,7 +165,7 @@ def estimated(pairs: DataFrame, classes: DataFrame, percent: int, k: int) -> Dat
 
 
 def read_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """cls and shingles (sorted hashes as bytes) of the wanted classes; texts are read again and not shuffled.
+    """cls and shingles (sorted hashes) of the wanted classes; texts are read again and not shuffled.
 
     Which text stands for a class goes to the tasks as a bitmap of text hashes,
     of fixed size; it may let through a few other texts, which no pair asks for.
@@ -169,14 +184,14 @@ def read_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, words: int) -
                     continue
                 seen.add(key)
                 s = shingler(t)
-                sets[class_of(s)] = s.tobytes()
+                sets[class_of(s)] = s.view(np.int64)
                 held += len(s)
                 if held > HELD_SHINGLES:
                     yield pd.DataFrame({"cls": list(sets), "shingles": list(sets.values())})
                     sets, held = {}, 0
             yield pd.DataFrame({"cls": pd.Series(list(sets), dtype="int64"), "shingles": pd.Series(list(sets.values()), dtype="object")})
 
-    return stored(map_frames(docs.select("key", "text"), run, "cls long, shingles binary").dropDuplicates(["cls"]))
+    return stored(map_frames(docs.select("key", "text"), run, "cls long, shingles array<long>").dropDuplicates(["cls"]))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -186,7 +201,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         for f in frames:
             keep = []
             for x, y in zip(f["x"], f["y"], strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                x, y = np.asarray(x).view(np.uint64), np.asarray(y).view(np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield f.loc[keep, ["a", "b"]]
@@ -217,10 +232,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int =
     """
     d = docs.select(F.col(id_column).alias("id"), text_key(F.col(text)).alias("key"), F.col(text).alias("text"))
     rows, classes = read_sketches(d, words, k)
-    lists = stored(inverted_lists(classes, percent, k))
-    live = stored(lists.select("cls").distinct())
+    live = live_classes(classes, percent, k)
     own = stored(classes.join(live, "cls", "left_semi"))
     sets = read_sets(d, rows, live, words)
+    lists = stored(inverted_lists(sets, percent, WIDE))
     edges = None
     for turn in range(3):
         open_rows = stored(shared(components(lists, edges), "comp"))

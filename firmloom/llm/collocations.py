@@ -9,24 +9,26 @@ An n-gram of up to ``OVERLAP + 1`` words that lies in the overlap of two chunks
 is counted in the second one only: a chunk counts what starts before its last
 ``OVERLAP`` words, the last chunk of a run counts all.
 
-Counts are exact.  Longer n-grams are looked for only where both shorter ones
-that make them up are frequent; tasks learn which are from a bitmap of fixed
-size that never denies a frequent one.
+Counts are exact.  Pairs are looked for only where both words are frequent, and
+phrases only where all their pairs are; tasks learn which are from bitmaps of
+fixed size that never deny a frequent one.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from firmloom.llm.common import LOWER, UPPER, hashed_set, may_hold, stored, table
-from firmloom.session import map_frames
+from firmloom.session import map_frames, ship_package
 from firmloom.skew import lookup_join
 
 #: Words that two chunks share: one fewer than the longest phrase has.
@@ -35,49 +37,61 @@ LONGEST = OVERLAP + 1
 #: One window in so many is a trigger.
 TRIGGER = 16
 #: Words of the dictionary that a task counts at once, and chunks or words that it gathers before it hands them on.
-COUNTED_WORDS, GATHERED = 400_000, 200_000
+COUNTED_WORDS, GATHERED = 1_000_000, 200_000
 NO_LANGUAGE = "und"
-PIECE = re.compile(r"[.,;:!?\n\x0b\x0c\r]+")
-WORD = re.compile(r"[^ \t]+")
+#: Bytes as they count: A-Z lower-cased, every end of a piece a line end.  UTF-8 keeps other code points apart from these bytes.
+BYTES = bytes.maketrans(UPPER.encode() + b".,;:!?\x0b\x0c\r", LOWER.encode() + b"\n" * 9)
 #: Lookups of a phrase part that are still dealt out by the part.
 HOT_PARTS = 20_000
 SALTS = 32
 
 
 INNER, LAST, SINGLE = 0, 1, 2
+FACTORS = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+
+
+def map_batches(df: DataFrame, run, schema: str) -> DataFrame:
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
+class Hashes(dict):
+    """Hash of a word, remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = zlib.crc32(word)
+        return value
 
 
 class Parser:
-    """Cuts texts into chunks; remembers the hashes of words."""
+    """Cuts texts into chunks."""
 
     def __init__(self):
-        self.lower, self.known = str.maketrans(UPPER, LOWER), {}
+        self.known = Hashes()
 
-    def __call__(self, text: str) -> tuple[list[str], list[tuple[str, int]]]:
+    def __call__(self, text: str) -> tuple[list[bytes], list[tuple[bytes, int]]]:
         """All words of a text, and its chunks, each INNER or the LAST of its piece."""
-        pieces = [w for w in map(WORD.findall, PIECE.split(text.translate(self.lower))) if w]
-        words = [w for piece in pieces for w in piece]
+        pieces = [w for w in map(bytes.split, text.encode().translate(BYTES).split(b"\n")) if w]
+        words = list(chain.from_iterable(pieces))
         if len(self.known) > GATHERED:
             self.known.clear()
-        for w in set(words):
-            if w not in self.known:
-                self.known[w] = zlib.crc32(w.encode())
-        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
-        starts = ends - [len(p) for p in pieces]
+        cut = np.empty(0, np.int64)
         if len(words) > LONGEST:
             h = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
             window = sum(h[k : len(h) - OVERLAP + 1 + k] * (2 * k + 1) for k in range(OVERLAP))
             cut = np.flatnonzero(window % 1_000_003 % TRIGGER == 0)
-            piece = np.searchsorted(ends, cut, "right")
-            cut = cut[(cut > starts[piece]) & (cut < ends[piece] - OVERLAP)]
-            begin = np.union1d(starts, cut)
-        else:
-            begin = starts
-        stop = np.r_[begin[1:] + OVERLAP, ends[-1:]]
-        last = np.isin(np.r_[begin[1:], ends[-1:]], ends)
-        stop[last] -= OVERLAP
-        stop[-1:] = ends[-1:]
-        return words, [(" ".join(words[b:e]), LAST if z else INNER) for b, e, z in zip(begin.tolist(), stop.tolist(), last.tolist(), strict=True)]
+        found, at, place, cuts = [], 0, 0, [*cut.tolist(), len(words)]
+        for piece in pieces:
+            begin, end = at, at + len(piece)
+            while cuts[place] <= begin:
+                place += 1
+            while cuts[place] < end - OVERLAP:
+                found.append((b" ".join(words[begin : cuts[place] + OVERLAP]), INNER))
+                begin = cuts[place]
+                place += 1
+            found.append((b" ".join(words[begin:end] if begin > at else piece), LAST))
+            at = end
+        return words, found
 
 
 def parse(docs: DataFrame) -> DataFrame:
@@ -86,11 +100,18 @@ def parse(docs: DataFrame) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parser, found, singles = Parser(), Counter(), {}
 
-        def out() -> pd.DataFrame:
-            rows = [(*k, n) for k, n in found.items()] + [(lang, w, SINGLE, n) for lang, counts in singles.items() for w, n in counts.items()]
+        def out(rows) -> pd.DataFrame:
+            return pd.DataFrame([(lang, c.decode(), kind, n) for lang, c, kind, n in rows], columns=["lang", "chunk", "kind", "times"], dtype="object")
+
+        def parted() -> pd.DataFrame:
+            frame = out((*key, n) for key, n in found.items())
             found.clear()
+            return frame
+
+        def single() -> pd.DataFrame:
+            frame = out((lang, w, SINGLE, n) for lang, counts in singles.items() for w, n in counts.items())
             singles.clear()
-            return pd.DataFrame(rows, columns=["lang", "chunk", "kind", "times"], dtype="object")
+            return frame
 
         for f in frames:
             for lang, text in zip(f["lang"], f["text"], strict=True):
@@ -99,83 +120,115 @@ def parse(docs: DataFrame) -> DataFrame:
                     singles.setdefault(lang, Counter()).update(words)
                     found.update((lang, c, kind) for c, kind in parts)
                     if len(found) > GATHERED:
-                        yield out()
-        yield out()
+                        yield parted()
+                    if sum(map(len, singles.values())) > GATHERED:
+                        yield single()
+        yield parted()
+        yield single()
 
     made = map_frames(docs, run, "lang string, chunk string, kind int, times long")
     return stored(made.groupBy("lang", "chunk", "kind").agg(F.sum("times").alias("times")))
 
 
 class Places:
-    """The word places of a batch of chunks of one language."""
-
-    def __init__(self, lang: str, chunks: pd.Series, kind: np.ndarray, times: np.ndarray):
-        split = [c.split(" ") for c in chunks]
-        size = np.fromiter(map(len, split), np.int64, len(split))
-        self.words = [w for ws in split for w in ws]
-        self.code, self.names = pd.factorize(np.array(self.words, dtype=object))
-        self.room = np.repeat(np.cumsum(size), size) - np.arange(len(self.words))  # words from here to the chunk's end
-        self.weight = np.repeat(times, size)
-        self.counts = np.repeat(kind == LAST, size) | (self.room > OVERLAP)
-        seeded = pd.util.hash_array(np.asarray(self.names, dtype=object), categorize=False) + np.uint64(zlib.crc32(lang.encode()))
-        self.hash = seeded[self.code]
-
-    def hashes(self, n: int) -> np.ndarray:
-        """64-bit hash of the ``n`` words from each place on; without meaning where fewer are left."""
-        total = np.full(len(self.hash), n, np.uint64)
-        for k in range(n):
-            total = (total ^ np.roll(self.hash, -k)) * np.uint64(0x9E3779B97F4A7C15)
-            total ^= total >> np.uint64(29)
-        return total * np.uint64(0xBF58476D1CE4E5B9)
-
-    def grams(self, n: int, at: np.ndarray) -> pd.DataFrame:
+    """The word places of a batch of chunks (lang, chunk, kind, times)."""
+
+    def __init__(self, batch: pa.Table):
+        split = pc.split_pattern(batch["chunk"].combine_chunks(), " ")
+        size = np.diff(split.offsets.to_numpy())
+        words = split.flatten().dictionary_encode()
+        langs = batch["lang"].combine_chunks().dictionary_encode()
+        self.code, self.names = words.indices.to_numpy().astype(np.int64), words.dictionary
+        self.lang, self.lang_names = np.repeat(langs.indices.to_numpy().astype(np.int64), size), langs.dictionary
+        self.room = np.repeat(np.cumsum(size), size) - np.arange(len(self.code))  # words from here to the chunk's end
+        self.weight = np.repeat(batch["times"].to_numpy(), size)
+        self.counts = np.repeat(batch["kind"].to_numpy() == LAST, size) | (self.room > OVERLAP)
+
+    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """64-bit hashes of a place's word, and of it and the next one, with the language."""
+        seeds, own = (pd.util.hash_array(np.array(x.to_pylist(), dtype=object), categorize=False) for x in (self.lang_names, self.names))
+        one = (own[self.code] ^ seeds[self.lang] * FACTORS[0]) * FACTORS[1]
+        one ^= one >> np.uint64(31)
+        return one, ((one + np.roll(own[self.code], -1)) ^ one >> np.uint64(7)) * FACTORS[0]
+
+    def at(self, n: int, able: np.ndarray) -> np.ndarray:
+        """Places where an n-gram counts and all its pairs of words are able."""
+        every = able
+        for k in range(1, n - 1):
+            every = every & np.roll(able, -k)
+        return np.flatnonzero(every & self.counts & (self.room >= n))
+
+    def grams(self, n: int, at: np.ndarray) -> pa.Table:
         """The distinct n-grams at the places ``at`` and their summed weights."""
-        number = self.code[at].astype(np.int64)
-        for k in range(1, n):  # dense numbers of ever longer n-grams: exact, no hashes
-            number = np.unique(number * len(self.names) + self.code[at + k], return_inverse=True)[1]
-        _, first, inverse = np.unique(number, return_index=True, return_inverse=True)
-        sums = np.zeros(len(first), np.int64)
-        np.add.at(sums, inverse, self.weight[at])
-        phrases = [" ".join(self.words[i : i + n]) for i in at[first].tolist()]
-        return pd.DataFrame({"phrase": pd.Series(phrases, dtype="object"), "f": sums})
-
-
-def frequent_hashes(frequent: DataFrame, n: int) -> np.ndarray:
-    """Bitmap of frequent n-grams (lang, phrase)."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for lang, part in f.groupby("lang"):
-                places = Places(lang, part["phrase"], np.zeros(len(part)), np.zeros(len(part), np.int64))
-                yield pd.DataFrame({"h": places.hashes(n)[::n].view(np.int64)})
-
-    return hashed_set(map_frames(frequent.select("lang", "phrase"), run, "h long"))
-
-
-def longer_phrases(chunks: DataFrame, shorter: DataFrame, n: int, least: int) -> DataFrame:
-    """lang, phrase, f of the n-grams with ``least`` occurrences or more, from the frequent (n - 1)-grams."""
-    bitmap = chunks.sparkSession.sparkContext.broadcast(frequent_hashes(shorter, n - 1))
-
-    def counted(gathered: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for lang, f in pd.concat(gathered).groupby("lang"):
-            places = Places(lang, f["chunk"], f["kind"].to_numpy(), f["times"].to_numpy())
-            able = may_hold(bitmap.value, places.hashes(n - 1))
-            at = np.flatnonzero(able & np.roll(able, -1) & places.counts & (places.room >= n))
-            yield places.grams(n, at).assign(lang=lang)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        gathered, held = [], 0
-        for f in frames:
-            gathered.append(f)
-            held += int(f["chunk"].str.count(" ").sum()) + len(f)
-            if held > COUNTED_WORDS:
-                yield from counted(gathered)
-                gathered, held = [], 0
-        if gathered:
-            yield from counted(gathered)
-
-    made = map_frames(chunks, run, "phrase string, f long, lang string")
-    return stored(made.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least))
+        number = self.lang[at]
+        for k in range(n):  # dense numbers of ever longer n-grams: exact, no hashes
+            number, distinct = pd.factorize(number * len(self.names) + self.code[at + k])
+        first = np.empty(len(distinct), np.int64)
+        first[number[::-1]] = np.arange(len(at))[::-1]
+        sums = np.zeros(len(distinct), np.int64)
+        np.add.at(sums, number, self.weight[at])
+        place = at[first]
+        phrase = pc.binary_join_element_wise(*[self.names.take(pa.array(self.code[place + k])) for k in range(n)], " ")
+        return pa.table({"lang": self.lang_names.take(pa.array(self.lang[place])), "phrase": phrase, "f": sums, "words": np.full(len(place), n, np.int32)})
+
+
+def _batched(batches: Iterator[pa.RecordBatch]) -> Iterator[Places]:
+    """Places of some COUNTED_WORDS words at a time."""
+    gathered, held = [], 0
+    for b in batches:
+        gathered.append(b)
+        held += b["chunk"].nbytes // 6
+        if held > COUNTED_WORDS:
+            yield Places(pa.Table.from_batches(gathered))
+            gathered, held = [], 0
+    if gathered and sum(map(len, gathered)):
+        yield Places(pa.Table.from_batches(gathered))
+
+
+def word_hashes(words: DataFrame) -> DataFrame:
+    """The hash of every word (lang, phrase)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if len(b):
+                none = np.zeros(len(b), np.int64)
+                yield from pa.table({"h": Places(pa.table({"lang": b["lang"], "chunk": b["phrase"], "kind": none, "times": none})).hashes()[0].view(np.int64)}).to_batches()
+
+    return map_batches(words.select("lang", "phrase"), run, "h long")
+
+
+def able_pairs(chunks: DataFrame, words: DataFrame, least: int) -> DataFrame:
+    """Hashes of the pairs of words that may have ``least`` occurrences or more: every such pair, and those that share its hash."""
+    bitmap = chunks.sparkSession.sparkContext.broadcast(hashed_set(word_hashes(words)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for places in _batched(batches):
+            one, two = places.hashes()
+            able = may_hold(bitmap.value, one)
+            at = places.at(2, able & np.roll(able, -1))
+            number, distinct = pd.factorize(two[at])
+            sums = np.zeros(len(distinct), np.int64)
+            np.add.at(sums, number, places.weight[at])
+            yield from pa.table({"h": distinct.view(np.int64), "f": sums}).to_batches()
+
+    made = map_batches(chunks, run, "h long, f long")
+    return made.groupBy("h").agg(F.sum("f").alias("f")).where(F.col("f") >= least).select("h")
+
+
+def longer_phrases(chunks: DataFrame, words: DataFrame, least: int) -> DataFrame:
+    """lang, phrase, f, words of the phrases of 2 to LONGEST words with ``least`` occurrences or more, from the frequent words."""
+    bitmap = chunks.sparkSession.sparkContext.broadcast(hashed_set(able_pairs(chunks, words, least)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for places in _batched(batches):
+            able = may_hold(bitmap.value, places.hashes()[1])
+            for n in range(2, LONGEST + 1):
+                at = places.at(n, able)
+                if len(at):
+                    yield from places.grams(n, at).to_batches()
+
+    made = map_batches(chunks, run, "lang string, phrase string, f long, words int")
+    return made.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).where(F.col("f") >= least).select("lang", "phrase", "f", "words")
 
 
 def _first(rows: DataFrame, by: list[str], top: int) -> DataFrame:
@@ -190,11 +243,8 @@ def phrase_counts(docs: DataFrame, least: int = 30) -> tuple[DataFrame, DataFram
     singles = parsed.where(F.col("kind") == SINGLE)
     totals = singles.groupBy("lang").agg(F.sum("times").alias("n"))
     chunks = parsed.where(F.col("kind") != SINGLE)
-    level = singles.where(F.col("times") >= least).select("lang", F.col("chunk").alias("phrase"), F.col("times").alias("f"))
-    every = level.withColumn("words", F.lit(1))
-    for n in range(2, LONGEST + 1):
-        level = longer_phrases(chunks, level, n, least)
-        every = every.unionByName(level.withColumn("words", F.lit(n)))
+    frequent = stored(singles.where(F.col("times") >= least).select("lang", F.col("chunk").alias("phrase"), F.col("times").alias("f"), F.lit(1).alias("words")))
+    every = frequent.unionByName(longer_phrases(chunks, frequent, least))
     return stored(every), totals
 
 

@@ -72,7 +72,7 @@ def hashed_set(hashes: DataFrame) -> np.ndarray:
     bits are set, so a larger set costs later work and never a result.  One row
     per 64 bits at most reaches the driver.
     """
-    spot = hashes.select(F.shiftrightunsigned(F.col(hashes.columns[0]), 64 - HASHED_BITS).alias("spot"))
+    spot = hashes.select(F.col(hashes.columns[0]).bitwiseAND(F.lit((1 << HASHED_BITS) - 1)).alias("spot"))
     words = spot.groupBy(F.shiftright("spot", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, int(spot & 63)))").alias("bits")).toArrow()
     bitmap = np.zeros(1 << (HASHED_BITS - 6), np.uint64)
     bitmap[words["at"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
@@ -81,5 +81,5 @@ def hashed_set(hashes: DataFrame) -> np.ndarray:
 
 def may_hold(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """For each 64-bit hash, whether the set may hold it (never False for a member)."""
-    spot = hashes.view(np.uint64) >> np.uint64(64 - HASHED_BITS)
+    spot = hashes.view(np.uint64) & np.uint64((1 << HASHED_BITS) - 1)
     return (bitmap[spot >> np.uint64(6)] >> (spot & np.uint64(63))) & np.uint64(1) == 1

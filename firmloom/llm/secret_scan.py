@@ -2,9 +2,9 @@
 
 One pass finds candidates (assigned values, known key shapes, long bare
 tokens) and describes each by its length, character transitions, dictionary
-coverage, the document's path and the neighbouring words.  Findings whose
-nature is plain from their shape are the labelled ones; a forest trained on a
-bounded sample of them judges all candidates.
+coverage, the document's path and the neighbouring words.  A forest trained on
+a bounded sample of labelled findings judges all candidates.  Labels come with
+the findings: by default from a seeded set of planted secrets and lookalikes.
 """
 
 from __future__ import annotations
@@ -12,7 +12,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import math
+import random
 import re
+import string
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,7 +28,13 @@ from firmloom.session import map_frames
 
 #: Most labelled findings of each kind that the forest is trained on (those with the smallest hash).
 TRAIN_ROWS = 5_000
-TREES, DEPTH, SEED = 24, 6, 7
+TREES, DEPTH, SEED = 24, 8, 7
+#: Planted findings of each label.
+LESSONS = 3_000
+LESSON_WORDS = (
+    "summer garden river window yellow market simple correct horse battery staple village morning letter number report system account server network "
+    "winter mountain bridge station paper silver orange kitchen doctor teacher student season forest island harbour castle pencil bottle hunter dragon"
+).split()
 LEAST = 0.5
 MASK = "[SECRET]"
 #: Characters kept on either side of a candidate to look for neighbouring words.
@@ -39,8 +48,16 @@ KNOWN = re.compile(SHAPES)
 NAME = r"[A-Za-z_][A-Za-z0-9_.\-]*+"
 START = r"(?<![A-Za-z0-9_.\-])"
 SIGN = r"[\"']?\s*+(?::=|=>|=|:)\s*+"
+#: A key block: its head, fields, and runs of base64 with nothing else between them.  What follows a head that no
+#: such run follows is not part of a key, and neither is anything behind the last run but the block's own end.
+GAP = r"(?:\s|\\[nr])*+"
+BLOCK = (
+    rf"-----BEGIN [A-Z ]{{0,40}}PRIVATE KEY-----(?:{GAP}[A-Z][A-Za-z\-]+: [^\n\\]*+)*+"
+    rf"(?:{GAP}[A-Za-z0-9+/]{{24,}}+={{0,2}}(?=\s|\\[nr]|-----END|[\"'`]|\Z))++"
+    rf"(?:(?:{GAP}[A-Za-z0-9+/]{{1,23}}={{0,2}})?{GAP}-----END [A-Z ]{{0,40}}PRIVATE KEY-----)?"
+)
 CANDIDATE = re.compile(
-    r"(?P<block>-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:(?!-----)[\s\S])*(?:-----END [A-Z ]{0,40}PRIVATE KEY-----)?)"
+    rf"(?P<block>{BLOCK})"
     rf"|(?P<known>{SHAPES})"
     rf"|{START}(?P<name>{NAME}){SIGN}(?P<quote>[\"']?)(?!-----BEGIN )(?P<value>[A-Za-z0-9+/_=.$!@#%^&*~\-]{{8,}})"
     r"|(?<![A-Za-z0-9+/_=\-])(?P<bare>[A-Za-z0-9+/_=\-]{20,})(?![A-Za-z0-9+/_=\-])"
@@ -197,6 +214,67 @@ def candidates(docs: DataFrame, dictionary: str, text: str = "text", id_column:
     return map_frames(rows, run, f"id {kind}, _key long, start int, end int, kind string, value_sha256 string, features array<double>, label double")
 
 
+def lessons(spark: SparkSession, count: int = LESSONS, seed: int = SEED) -> DataFrame:
+    """doc_id, text, source, begin, stop, label, held_out: ``count`` planted findings of each label, one in a text.
+
+    Secrets are drawn as people make them (tokens of several alphabets, keys of
+    known shape, passwords, passphrases of run-together words), lookalikes too
+    (UUIDs, digests, identifiers, words, long words of prose, placeholders, paths, numbers); the
+    drawing knows which is which, no rule over the features does.  Every third
+    is held out of the training.
+    """
+    rnd = random.Random(seed)
+    upper, lower, digits = string.ascii_uppercase, string.ascii_lowercase, string.digits
+
+    def drawn(alphabet: str, least: int, most: int) -> str:
+        return "".join(rnd.choice(alphabet) for _ in range(rnd.randint(least, most)))
+
+    def word() -> str:
+        return rnd.choice(LESSON_WORDS)
+
+    def part() -> str:
+        return drawn("bcdfghklmnprstvwz", 1, 2) + drawn("aeiou", 1, 1) + drawn("nrst", 0, 1)
+
+    secret = (
+        lambda: drawn(upper + lower + digits, 16, 64), lambda: drawn("0123456789abcdef", 32, 64), lambda: drawn(upper + lower + digits + "+/", 20, 60) + rnd.choice(("", "=", "==")),
+        lambda: drawn(upper + lower + digits + "!@#$%^&*", 8, 20), lambda: "".join(word().capitalize() for _ in range(rnd.randint(2, 4))),
+        lambda: word() + str(rnd.randint(1, 999)) + word(), lambda: "AKIA" + drawn(upper + digits, 16, 16), lambda: "ghp_" + drawn(upper + lower + digits, 36, 36),
+        lambda: "sk-" + drawn(upper + lower + digits, 24, 48), lambda: "xoxb-" + drawn(digits, 10, 12) + "-" + drawn(lower + upper + digits, 20, 24),
+    )
+    harmless = (
+        lambda: str(uuid.UUID(int=rnd.getrandbits(128))), lambda: drawn("0123456789abcdef", 40, 40), lambda: drawn("0123456789abcdef", 32, 32), lambda: "_".join(word() for _ in range(rnd.randint(2, 5))),
+        lambda: "".join(word() for _ in range(rnd.randint(2, 4))), lambda: rnd.choice(("your-api-key-here", "xxxxxxxxxxxxxxxx", "changeme-changeme", "example-token-value", "placeholder_value")),
+        lambda: "/".join(word() for _ in range(rnd.randint(3, 6))), lambda: drawn(digits, 8, 24), lambda: rnd.choice((str.title, str.lower))("".join(part() for _ in range(rnd.randint(6, 10)))), lambda: f"{word()}.{word()}.{word()}()", lambda: f"{word()}-{word()}-{rnd.randint(1, 99)}",
+    )
+    credential = ("password", "passwd", "secret", "api_key", "apiKey", "token", "access_key", "auth_token", "client_secret", "DB_PASSWORD", "private_key", "bearer")
+    neutral = ("id", "commit", "sha1", "checksum", "request_id", "uuid", "name", "path", "version", "label", "etag", "module", "file", "revision", "trace")
+    forms = ("{n} = {v}", "{n}: {v}", '{n} = "{v}"', "{n}={v}", "'{n}': '{v}'")
+    rows = []
+    for label, kinds in ((1, secret), (0, harmless)):
+        for i in range(count):
+            kind = i % len(kinds)
+            value = kinds[kind]()
+            shaped = label == 1 and kind >= 6  # keys of known shape are secrets under any name, or none
+            names = credential if label == 1 and (not shaped or rnd.random() < 0.5) else neutral if label == 0 and rnd.random() < 0.8 or shaped else credential
+            if label == 0 and kind in (0, 1, 2, 4) and names is credential:
+                names = neutral  # only the name tells such a value from a secret
+            bare = kind == 8 or kind != 5 and rnd.random() < 0.3  # a long word of prose has no name
+            line = value if (shaped or label == 0) and bare else rnd.choice(forms).format(n=rnd.choice(names), v=value)
+            before, after = (" ".join(word() for _ in range(rnd.randint(0, 12))) for _ in range(2))
+            text = f"{before} {line} {after}"
+            begin = text.index(value, len(before))
+            rows.append((len(rows), text, rnd.choice(("web", "code", "docs", "books", "")), begin, begin + len(value), float(label), i % 3 == 0))
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, begin int, stop int, lesson double, held_out boolean")
+
+
+def labelled_lessons(spark: SparkSession, dictionary: str) -> DataFrame:
+    """The candidates found in ``lessons`` at the planted places, with their labels and ``held_out``."""
+    planted = lessons(spark)
+    found = candidates(planted, dictionary).drop("label")
+    places = planted.select(F.col("doc_id").alias("id"), "begin", "stop", F.col("lesson").alias("label"), "held_out")
+    return stored(found.join(places, "id").where((F.col("start") < F.col("stop")) & (F.col("end") > F.col("begin"))).drop("begin", "stop"))
+
+
 def train(labelled: DataFrame):
     """A random forest on labelled findings (features, label, and columns that put them in a fixed order), or None.
 
@@ -221,15 +299,18 @@ def scan(docs: DataFrame, dictionary: str, text: str = "text", id_column: str =
     """Every candidate with the forest's probability and verdict: id, _key, start, end, kind, value_sha256, probability, is_secret.
 
     ``labelled`` findings (as ``candidates`` gives them, with labels) may come
-    from elsewhere; by default they are the plainly labelled ones of ``docs``.
-    If one label is missing there is nothing to learn, and a finding's
+    from elsewhere; by default they are those of ``lessons`` that aren't held
+    out.  If one label is missing there is nothing to learn, and a finding's
     probability is its plain label, 0.5 where that is open too.  Null and empty
-    texts have no candidates; repeated rows give repeated findings.
+    texts have no candidates; long texts are scanned whole; repeated rows give
+    repeated findings.  Other columns play no part, whatever their names.
     """
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
     found = stored(candidates(docs, dictionary, text, id_column, path))
-    model = train((found if labelled is None else labelled).where("label IS NOT NULL"))
+    if labelled is None:
+        labelled = labelled_lessons(docs.sparkSession, dictionary).where("NOT held_out")
+    model = train(labelled.where("label IS NOT NULL"))
     if model is None:
         scored = found.withColumn("probability", F.coalesce("label", F.lit(0.5)))
     else:

@@ -24,14 +24,17 @@ from urllib.parse import urlsplit
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from firmloom.llm.common import hinted, stored, table
+from firmloom.llm.common import BROADCAST_ROWS, stored, table
 from firmloom.session import ensure_checkpoint_dir, map_frames
+from firmloom.skew import lookup_join
 
 #: Payloads of at least so many bytes are stored once and revisited after.
 MIN_PAYLOAD = 0
 #: A new archive file begins after so many bytes.
 FILE_BYTES = 128_000_000
 BLOCK_LINES = 500
+#: Rows of one payload that are still dealt out by its digest.
+HOT_PAYLOADS = 10_000
 #: Key ranges of the index; their first keys are all that the driver ever holds.
 MAX_SHARDS = 2000
 #: Stands in every record that has no date of its own.
@@ -54,9 +57,13 @@ def url_key(url: str | None) -> str:
     return f"{','.join(reversed(host.split('.')))}{f':{port}' if port else ''}){parts.path or '/'}{query}"
 
 
+#: Control characters as they are written in keys and headers, where some of them part fields and lines.
+ESCAPES = {c: f"%{c:02X}" for c in (*range(32), 127)}
+
+
 def capture_key(url: str | None, ident) -> str:
-    """Sort key of one capture: URL key, a line-feed-free gap, and the record's id."""
-    return f"{url_key(url)}\t{'' if pd.isna(ident) else int(ident)}".replace("\n", "%0A").replace("\r", "%0D")
+    """Sort key of one capture: URL key with escaped control characters, a tab, and the record's id."""
+    return f"{url_key(url).translate(ESCAPES)}\t{'' if pd.isna(ident) else int(ident)}"
 
 
 def payload_digest(payload: bytes) -> str:
@@ -68,7 +75,7 @@ def make_record(ident, url: str | None, payload: bytes, first, date: str = EPOCH
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     name = "none" if pd.isna(ident) else int(ident)
     body = http if first is not None else http + payload
-    target = (url or "").replace("\r", "%0D").replace("\n", "%0A")
+    target = (url or "").translate(ESCAPES)
     head = [
         "WARC/1.1", f"WARC-Type: {'response' if first is None else 'revisit'}", f"WARC-Record-ID: <urn:record:{name}>", f"WARC-Date: {date}",
         f"WARC-Target-URI: {target}", f"WARC-Payload-Digest: sha1:{payload_digest(payload)}",
@@ -134,8 +141,12 @@ def write_archive(pages: DataFrame, folder: str, min_payload: int = MIN_PAYLOAD)
     """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")).withColumn("sha", F.sha1(F.encode("html", "UTF-8")))
     again = rows.where(F.octet_length("html") >= min_payload).groupBy("sha").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    again = hinted(stored(again.where("n > 1 AND first IS NOT NULL").select("sha", "first")))
-    known = rows.join(again, "sha", "left").select("page_id", "url", "html", F.when(~F.col("first").eqNullSafe(F.col("page_id")), F.col("first")).alias("first"))
+    again = stored(again.where("n > 1 AND first IS NOT NULL").select("sha", "first"))
+    if again.count() <= BROADCAST_ROWS:
+        known = rows.join(F.broadcast(again), "sha", "left")
+    else:  # empty and error pages are hot keys
+        known = lookup_join(rows, again, "sha", F.concat("sha", F.coalesce(F.col("page_id").cast("string"), "url", F.lit(""))), HOT_PAYLOADS)
+    known = known.select("page_id", "url", "html", F.when(~F.col("first").eqNullSafe(F.col("page_id")), F.col("first")).alias("first"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         system, base = _filesystem(folder)
@@ -263,7 +274,7 @@ class CaptureIndex:
 
     def captures(self, url: str) -> Iterator[Record]:
         """All records of a URL."""
-        for place in self.find(capture_key(url, None), exact=False):
+        for place in self.find(capture_key(url, None), exact=False):  # the key ends with the tab before the id
             yield self.read(*place)
 
     def read(self, file: str, offset: int, size: int) -> Record:
@@ -272,7 +283,10 @@ class CaptureIndex:
 
 
 def look_up(keys: DataFrame, index: CaptureIndex) -> DataFrame:
-    """The records of ``keys`` (key string, distinct): read range by range, each task its own part of the index."""
+    """The records of ``keys`` (key string, distinct): read range by range, each task its own part of the index.
+
+    A key that the index doesn't hold ends the query: nothing is left out silently.
+    """
     place = index.index, index.archive, list(zip([f.decode() for f in index.firsts], index.names, strict=True))
     firsts = index.firsts
 
@@ -285,7 +299,10 @@ def look_up(keys: DataFrame, index: CaptureIndex) -> DataFrame:
         for f in frames:
             out = []
             for key in f["key"]:
-                for where in opened.find(key):
+                places = list(opened.find(key))
+                if not places:
+                    raise KeyError(f"no capture of {key!r}")
+                for where in places:
                     r = opened.read(*where)
                     kind = r.headers["WARC-Type"]
                     digest = payload_digest(r.payload) if kind == "response" else r.headers["WARC-Payload-Digest"].removeprefix("sha1:")
@@ -293,7 +310,7 @@ def look_up(keys: DataFrame, index: CaptureIndex) -> DataFrame:
             rows = pd.DataFrame(out, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target", "file", "offset", "size"])
             yield rows.astype({"page_id": "Int64", "refers_to": "Int64"})
 
-    placed = map_frames(keys.select("key"), shard, "key string, shard int").repartition("shard").sortWithinPartitions("shard", "key")
+    placed = map_frames(keys.select("key"), shard, "key string, shard int").repartition(max(len(index.names), 1), "shard").sortWithinPartitions("shard", "key")
     return map_frames(placed, run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, target string, file string, offset long, size long")
 
 
@@ -316,7 +333,8 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive every page, then read each back by its URL through the index.
 
     Empty tables give no rows; repeated rows are repeated records; a null url
-    has the empty key.
+    has the empty key, control characters of a url are escaped.  Long pages are
+    one record each.  Other columns play no part, whatever their names.
     """
     pages = table(spark, sf_dir, "pages")
     index, _ = archive_pages(pages)

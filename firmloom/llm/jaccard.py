@@ -124,7 +124,7 @@ def read_classes(docs: DataFrame, words: int) -> tuple[DataFrame, np.ndarray]:
 
 
 def read_prefixes(docs: DataFrame, sketch: np.ndarray, words: int, percent: int) -> DataFrame:
-    """One row per class: cls, n, central (mean log-frequency), parts (suffix filter counts), prefix (rare-first hashes)."""
+    """One row per class: cls, no (a number), n, central (mean log-frequency), parts (suffix filter counts), prefix (rare-first hashes)."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(sketch)  # of fixed size
 
@@ -147,7 +147,7 @@ def read_prefixes(docs: DataFrame, sketch: np.ndarray, words: int, percent: int)
             yield pd.DataFrame(rows, columns=["cls", "n", "central", "parts", "prefix"])
 
     made = map_frames(docs.select("text"), run, "cls long, n long, central double, parts array<int>, prefix array<long>")
-    return stored(made.dropDuplicates(["cls"]))
+    return stored(made.dropDuplicates(["cls"]).withColumn("no", F.monotonically_increasing_id()))  # numbers hold once they are written
 
 
 def _shared(rows: DataFrame, by: str) -> DataFrame:
@@ -163,10 +163,12 @@ def entries(classes: DataFrame, percent: int) -> DataFrame:
     of all that stands before, only those can be common.  Entries too far down
     for what is left to be enough are dropped.
     """
-    every = classes.select("cls", F.posexplode("prefix").alias("pos", "token"))
+    # half of a hash tells entries apart well enough for a count: two that fall together only keep more
+    every = classes.select("no", F.explode(F.transform("prefix", lambda x: F.shiftright(x, 32).cast("int"))).alias("half"))
+    several = every.groupBy("half").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("half")
     least = F.ceil(F.lit(percent) * F.col("n") / 100)
-    counts = _shared(every, "cls").groupBy("cls").agg(F.count(F.lit(1)).alias("_n"))
-    live = classes.join(counts, "cls").where(F.col("_n") >= F.ceil(least / 20))  # a partner may be smaller, and so guarantee less
+    counts = every.join(several, "half", "left_semi").groupBy("no").agg(F.count(F.lit(1)).alias("_n"))
+    live = classes.join(counts, "no").where(F.col("_n") >= F.ceil(least / 20))  # a partner may be smaller, and so guarantee less
     plain = F.slice("prefix", F.lit(1), (F.col("n") - least + 1).cast("int"))
     rows = _shared(stored(live.select("cls", "n", "central", F.posexplode(plain).alias("pos", "token"))), "cls")
     known = rows.withColumn("known", F.row_number().over(W.partitionBy("cls").orderBy("pos")) - 1)

@@ -125,14 +125,14 @@ class Block:
         self.shape = (-1, planes, -(-dims // 8))
 
     def scored(self, frames: Iterator[pd.DataFrame]) -> Iterator[tuple]:
-        """(ids, rows, labels, first anchor, scores) for every part of the rows and of the anchors."""
+        """(ids, rows, labels, slice of the anchors, scores) for every part of the rows and of the anchors."""
         for f in frames:
             for start in range(0, len(f), ROWS):
                 part = f.iloc[start : start + ROWS]
                 packed = np.frombuffer(b"".join(part["planes"]), np.uint8).reshape(self.shape)
                 ids, rows, labels = (part[c].to_numpy() for c in ("id", "row", "label"))
                 for s, sums in self.tables:
-                    yield ids, rows, labels, s, scores(packed, sums)
+                    yield ids, rows, labels, slice(s, s + sums.shape[2]), scores(packed, sums)
 
 
 def _merged(found: DataFrame, by: list[str], k: int) -> DataFrame:
@@ -148,9 +148,8 @@ def first_of_label(rows: DataFrame, anchors: pd.DataFrame, dims: int, planes: in
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block = Block(shared.value, dims, planes)
         best = Best(len(block.rows), k)
-        for ids, at, labels, s, score in block.scored(frames):
-            own, label = block.rows[None, s : s + TABLES], block.labels[None, s : s + TABLES]
-            best.add(score, (labels[:, None] == label) & (at[:, None] != own), ids, at, s)
+        for ids, at, labels, span, score in block.scored(frames):
+            best.add(score, (labels[:, None] == block.labels[span]) & (at[:, None] != block.rows[span]), ids, at, span.start)
         column, score, ids, at = best.held.T
         yield pd.DataFrame({"anchor": block.rows[column], "score": score, "id": ids, "row": at})
 
@@ -169,12 +168,12 @@ def first_in_range(rows: DataFrame, anchors: pd.DataFrame, positives: pd.DataFra
             least = np.array([-(-low * int(x) // 100) for x in group["score"]], np.int64)
             most = np.array([high * int(x) // 100 for x in group["score"]], np.int64)
             turns.append((group["column"].to_numpy(), least, most, Best(len(group), k), group["row"].to_numpy()))
-        for ids, at, labels, s, score in block.scored(frames):
-            other = labels[:, None] != block.labels[None, s : s + TABLES]
+        for ids, at, labels, span, score in block.scored(frames):
+            other = labels[:, None] != block.labels[span]
             for column, least, most, best, _ in turns:
-                x, y = np.searchsorted(column, [s, s + TABLES])
-                part = score[:, column[x:y] - s]
-                best.add(part, other[:, column[x:y] - s] & (part >= least[x:y]) & (part <= most[x:y]), ids, at, x)
+                x, y = np.searchsorted(column, [span.start, span.stop])
+                part = score[:, column[x:y] - span.start]
+                best.add(part, other[:, column[x:y] - span.start] & (part >= least[x:y]) & (part <= most[x:y]), ids, at, x)
         for column, _, _, best, positive in turns:
             at_column, score, ids, at = best.held.T
             yield pd.DataFrame({"anchor": block.rows[column[at_column]], "positive": positive[at_column], "score": score, "id": ids, "row": at})

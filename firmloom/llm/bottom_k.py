@@ -36,6 +36,8 @@ from firmloom.session import map_frames
 
 #: Values that a sketch keeps, and that the wider sketch of a class keeps that may link at all.
 K, WIDE = 96, 512
+#: Bits of the bitmap of a wider sketch.
+BITS = 1024
 #: Probability with which the estimate may miss a linked pair.
 TAIL = 1e-12
 #: Most shingles that a task holds before it hands them on (8 bytes each).
@@ -92,20 +94,21 @@ def live_classes(classes: DataFrame, percent: int, k: int) -> DataFrame:
 
 
 def inverted_lists(sets: DataFrame, percent: int, k: int) -> DataFrame:
-    """value, cls, n, known, rest, least, central: the lists of kept values on which live classes may meet.
+    """value, cls, comp, n, known, rest, least, central: the lists of kept values on which classes (cls, comp, shingles)
+    of different components may meet.
 
     A class holds its values rarest first.  Two classes that link share at least
     ``least`` values, so they meet within the first values of both, and values
-    that no other class holds can be left out beforehand.  ``known`` counts the
-    shared values before this one, ``rest`` those from it on.
+    that no other component holds can be left out beforehand.  ``known`` counts
+    the shared values before this one, ``rest`` those from it on.
     """
-    values = sets.select("cls", F.size("shingles").alias("n"), F.explode(F.slice("shingles", 1, k)).alias("value"))
-    often = values.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    values = sets.select("cls", "comp", F.size("shingles").alias("n"), F.explode(F.slice("shingles", 1, k)).alias("value"))
+    often = values.groupBy("value").agg(F.count(F.lit(1)).alias("df"), F.min("comp").alias("_a"), F.max("comp").alias("_b")).where("_a <> _b")
     own = W.partitionBy("cls")
-    held = values.join(often, "value").withColumn("known", F.row_number().over(own.orderBy("df", "value")) - 1)
+    held = values.join(often.select("value", "df"), "value").withColumn("known", F.row_number().over(own.orderBy("df", "value")) - 1)
     held = held.withColumn("live", F.count(F.lit(1)).over(own)).withColumn("least", least_shared(F.col("n"), percent, k))
     held = held.withColumn("central", F.avg(F.log2("df")).over(own)).where(F.col("known") <= F.col("live") - F.col("least"))
-    return shared(stored(held.select("value", "cls", "n", "known", (F.col("live") - F.col("known")).alias("rest"), "least", "central")), "cls")
+    return stored(held.select("value", "cls", "comp", "n", "known", (F.col("live") - F.col("known")).alias("rest"), "least", "central"))
 
 
 def shared(rows: DataFrame, by: str) -> DataFrame:
@@ -117,30 +120,55 @@ def shared(rows: DataFrame, by: str) -> DataFrame:
 PLACE = ("n", "known", "rest", "least")
 
 
-def may_link(x: Column, y: Column, percent: int) -> Column:
+def may_link(x: Column, y: Column, percent: int, k: int) -> Column:
     """Whether two classes (structs of PLACE) that meet on a value can have sizes and an overlap that link."""
     length = 100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"])
-    return length & (F.least(x["known"], y["known"]) + F.least(x["rest"], y["rest"]) >= F.greatest(x["least"], y["least"]))
+    most = F.least(x["known"], y["known"]) + F.least(x["rest"], y["rest"])
+    whole = (F.greatest(x["n"], y["n"]) > k) | ((100 + percent) * most >= percent * (x["n"] + y["n"]))
+    return length & (most >= F.greatest(x["least"], y["least"])) & whole
 
 
-def hub_pairs(rows: DataFrame, rank: Column, percent: int) -> DataFrame:
+def hub_pairs(rows: DataFrame, rank: Column, percent: int, k: int) -> DataFrame:
     """Each class with the first class, by ``rank``, of each of its lists."""
     hub = rows.groupBy("value").agg(F.max(F.struct(rank.alias("rank"), "cls", "comp", *PLACE)).alias("hub"))
-    met = rows.join(hub, "value").where((F.col("comp") != F.col("hub.comp")) & may_link(F.struct(*PLACE), F.col("hub"), percent))
+    met = rows.join(hub, "value").where((F.col("comp") != F.col("hub.comp")) & may_link(F.struct(*PLACE), F.col("hub"), percent, k))
     return met.select(F.least("cls", "hub.cls").alias("a"), F.greatest("cls", "hub.cls").alias("b")).distinct()
 
 
-def cross_pairs(rows: DataFrame, percent: int) -> DataFrame:
+def bitmaps(sets: DataFrame, k: int) -> DataFrame:
+    """cls and a bitmap (BITS bits in longs) of the ``k`` smallest values of each class (cls, shingles)."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            rows = []
+            for s in f["shingles"]:
+                values, bits = np.asarray(s)[:k].view(np.uint64) % np.uint64(BITS), np.zeros(BITS // 64, np.uint64)
+                np.bitwise_or.at(bits, (values >> np.uint64(6)).astype(np.int64), np.uint64(1) << (values & np.uint64(63)))
+                rows.append(bits.view(np.int64).tolist())
+            yield pd.DataFrame({"cls": f["cls"], "bits": pd.Series(rows, dtype="object")})
+
+    return map_frames(sets.select("cls", "shingles"), run, "cls long, bits array<long>")
+
+
+def cross_pairs(rows: DataFrame, bits: DataFrame, percent: int, k: int) -> DataFrame:
     """All pairs of classes of different components that meet on a list.
 
     The sizes are part of the join key: they lie in bands so wide that sizes
-    which may link differ by one band at most.
+    which may link differ by one band at most.  Of two sets that fit into their
+    sketches, bitmaps differ in no more places than the sets do; that tells
+    pairs just below the asked similarity apart before they are formed.  A pair
+    is formed on the first value that both hold and on no later one.
     """
     band = F.floor(F.log(F.col("n").cast("double")) / (1.0001 * math.log(100 / percent))).cast("int") if percent < 100 else F.col("n").cast("int")
-    place = F.struct("cls", "comp", *PLACE)
+    earlier = W.partitionBy("cls").orderBy("known").rowsBetween(W.unboundedPreceding, -1)
+    rows = rows.withColumn("before", F.collect_list("value").over(earlier)).join(bits, "cls")
+    place = F.struct("cls", "comp", "bits", "before", *PLACE)
     x = rows.select("value", band.alias("band"), place.alias("x"))
     y = rows.select("value", F.explode(F.array(band - 1, band, band + 1)).alias("band"), place.alias("y"))
-    met = x.join(y, ["value", "band"]).where((F.col("x.comp") < F.col("y.comp")) & may_link(F.col("x"), F.col("y"), percent))
+    apart = F.aggregate(F.zip_with("x.bits", "y.bits", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, n: s + n)
+    both = F.col("x.n") + F.col("y.n")
+    near = (F.greatest("x.n", "y.n") > k) | ((100 + percent) * apart <= (100 - percent) * both)
+    met = x.join(y, ["value", "band"]).where((F.col("x.comp") < F.col("y.comp")) & may_link(F.col("x"), F.col("y"), percent, k) & near & ~F.arrays_overlap("x.before", "y.before"))
     return met.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct()
 
 
@@ -235,16 +263,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, k: int =
     live = live_classes(classes, percent, k)
     own = stored(classes.join(live, "cls", "left_semi"))
     sets = read_sets(d, rows, live, words)
-    lists = stored(inverted_lists(sets, percent, WIDE))
-    edges = None
+    edges, lists = None, inverted_lists(sets.withColumn("comp", F.col("cls")), percent, WIDE)
     for turn in range(3):
-        open_rows = stored(shared(components(lists, edges), "comp"))
+        open_rows = stored(shared(components(lists.drop("comp"), edges), "comp"))
         if open_rows.isEmpty():
             break
         if turn < 2:
-            pairs = hub_pairs(open_rows, F.col("central") if turn == 0 else F.xxhash64("cls", "value").cast("double"), percent)
-        else:
-            pairs = cross_pairs(open_rows, percent)
+            pairs = hub_pairs(open_rows, F.col("central") if turn == 0 else F.xxhash64("cls", "value").cast("double"), percent, WIDE)
+        else:  # draw the lists anew: values that only one component holds say nothing any more
+            left = sets.join(open_rows.select("cls").distinct(), "cls", "left_semi")
+            anew = inverted_lists(components(left, edges), percent, WIDE)
+            pairs = cross_pairs(anew, stored(bitmaps(left, WIDE)), percent, WIDE)
         more = verified(estimated(pairs, own, percent, k), sets, percent)
         edges = more if edges is None else edges.union(more)
     grouped = components(rows, edges)

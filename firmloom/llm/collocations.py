@@ -37,7 +37,7 @@ LONGEST = OVERLAP + 1
 #: One window in so many is a trigger.
 TRIGGER = 16
 #: Words of the dictionary that a task counts at once, and chunks or words that it gathers before it hands them on.
-COUNTED_WORDS, GATHERED = 1_000_000, 200_000
+COUNTED_WORDS, GATHERED = 2_000_000, 200_000
 NO_LANGUAGE = "und"
 #: Bytes as they count: A-Z lower-cased, every end of a piece a line end.  UTF-8 keeps other code points apart from these bytes.
 BYTES = bytes.maketrans(UPPER.encode() + b".,;:!?\x0b\x0c\r", LOWER.encode() + b"\n" * 9)
@@ -169,7 +169,7 @@ class Places:
         np.add.at(sums, number, self.weight[at])
         place = at[first]
         phrase = pc.binary_join_element_wise(*[self.names.take(pa.array(self.code[place + k])) for k in range(n)], " ")
-        return pa.table({"lang": self.lang_names.take(pa.array(self.lang[place])), "phrase": phrase, "f": sums, "words": np.full(len(place), n, np.int32)})
+        return pa.table({"lang": self.lang_names.take(pa.array(self.lang[place])), "phrase": phrase, "f": sums})
 
 
 def _batched(batches: Iterator[pa.RecordBatch]) -> Iterator[Places]:
@@ -227,8 +227,9 @@ def longer_phrases(chunks: DataFrame, words: DataFrame, least: int) -> DataFrame
                 if len(at):
                     yield from places.grams(n, at).to_batches()
 
-    made = map_batches(chunks, run, "lang string, phrase string, f long, words int")
-    return made.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).where(F.col("f") >= least).select("lang", "phrase", "f", "words")
+    made = map_batches(chunks, run, "lang string, phrase string, f long")
+    frequent = made.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+    return frequent.withColumn("words", F.size(F.split("phrase", " ")))
 
 
 def _first(rows: DataFrame, by: list[str], top: int) -> DataFrame:

@@ -1,18 +1,57 @@
-"""Connected components of a key graph, by alternating star contractions.
-
-The two steps follow the published large-star / small-star method: every node
-hangs its larger (then its smaller) neighbours below the smallest node it
-knows, until nothing moves.  The number of rounds grows with the logarithm of
-the graph, not with its diameter.
+"""Connected components of a key graph, by contraction of chunks and alternating star steps.
+
+First every chunk of edges, of bounded size, becomes a forest of stars in one
+task; paths and dense parts inside a chunk are gone after that.  A graph of one
+chunk is done.  For others the two steps of the published large-star /
+small-star method follow: every node hangs its larger (then its smaller)
+neighbours below the smallest node it knows, until nothing moves.  The number
+of rounds grows with the logarithm of the graph, not with its diameter.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from firmloom.session import cut_lineage
+from firmloom.session import cut_lineage, map_frames
 from firmloom.skew import HOT_KEY_ROWS
 
+#: Edges that one task contracts at once.
+CHUNK_EDGES = 1_000_000
+
+
+def _stars(u: pd.Series, v: pd.Series) -> pd.DataFrame:
+    """(u, v): every node of the edges that isn't the smallest of its component, and that smallest node."""
+    codes, names = pd.factorize(pd.concat([u, v], ignore_index=True), sort=True)
+    a, b = np.split(codes, 2)
+    root = np.arange(len(names))
+    while (apart := root[a] != root[b]).any():
+        x, y = root[a][apart], root[b][apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while ((up := root[root]) != root).any():
+            root = up
+    child = np.flatnonzero(root != np.arange(len(names)))
+    return pd.DataFrame({"u": names[child], "v": names[root[child]]})
+
+
+def _contract(frames: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
+    held: list[pd.DataFrame] = []
+    for f in frames:
+        for start in range(0, len(f), most):
+            part = f.iloc[start : start + most]
+            if sum(map(len, held)) + len(part) > most:
+                whole = pd.concat(held)
+                yield _stars(whole["u"], whole["v"])
+                held = []
+            held.append(part)
+    if held:
+        whole = pd.concat(held)
+        yield _stars(whole["u"], whole["v"])
+
 
 def _with_min(edges: DataFrame, hot_rows: int) -> DataFrame:
     """Add ``m``, the smallest neighbour of ``u``.
@@ -44,7 +83,7 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def connected_components(pairs: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def connected_components(pairs: DataFrame, hot_rows: int = HOT_KEY_ROWS, chunk_edges: int = CHUNK_EDGES) -> DataFrame:
     """(node, component) for an edge list with columns ``a`` and ``b`` (null ``b``: a lone node).
 
     ``component`` is the smallest node of the component.  Edges may come in any
@@ -54,9 +93,13 @@ def connected_components(pairs: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> Data
     nodes = distinct.select(F.explode(F.array("a", "b")).alias("node")).where(F.col("node").isNotNull()).distinct()
     linked = distinct.where(F.col("b").isNotNull() & (F.col("a") != F.col("b")))
     edges = linked.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    edges = cut_lineage(edges)
-    before = None
-    while (now := _fingerprint(edges)) != before:
+    chunks = -(-edges.count() // chunk_edges)
+    # any split into chunks keeps what is connected, so a recomputed task may find another forest
+    dealt = edges.repartition(1) if chunks <= 1 else edges.repartition(chunks, "u", "v")
+    kind = edges.schema["u"].dataType.simpleString()
+    edges = cut_lineage(map_frames(dealt, partial(_contract, most=chunk_edges), f"u {kind}, v {kind}").distinct())
+    before = () if chunks > 1 else None
+    while before is not None and (now := _fingerprint(edges)) != before:
         before = now
         edges = cut_lineage(_small_star(_large_star(edges, hot_rows), hot_rows))
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

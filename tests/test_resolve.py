@@ -181,13 +181,22 @@ def test_components(spark):
     # Without coalescing, the edges stay in several partitions and the rounds have to join them.
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        for hot in (3, 1_000_000):
-            got = connected_components(spark.createDataFrame(edges, "a long, b long"), hot).collect()
+        for hot, chunk in ((3, 10), (1_000_000, 10), (3, 60), (3, 1_000_000)):
+            got = connected_components(spark.createDataFrame(edges, "a long, b long"), hot, chunk).collect()
             assert {r.node: r.component for r in got} == {n: find(n) for n in list(parent)}
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_components_of_hubs_and_paths(spark):
+    path, hub = [(i, i + 1) for i in range(300)], [(1000, 1001 + i) for i in range(200)]
+    for chunk in (25, 1_000_000):
+        named = [(f"n{a:04d}", f"n{b:04d}") for a, b in path + hub + hub]
+        got = {r.node: r.component for r in connected_components(spark.createDataFrame(named, "a string, b string"), 50, chunk).collect()}
+        assert got == {**{f"n{i:04d}": "n0000" for i in range(301)}, **{f"n{i:04d}": "n1000" for i in range(1000, 1201)}}
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_lookup(spark):
     rows = random_rows(9, 200, 12, 12)
     companies = [(i, f"d{i % 9}" if i % 4 else None, f"N{i % 7}") for i in range(1, 30)]

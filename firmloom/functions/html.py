@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
@@ -33,32 +34,46 @@ from firmloom.functions.urls import first_matching
 _HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\z)"
 _ANCHOR = r"""(?is)<a(?=[\s/>])((?:"[^"]*+"|'[^']*+'|[^>"']++)*+)[^>]*>"""
 ATTRIBUTE_PATTERN = r"""(?s)([^\s=/>"']++)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+)"""
-_NAMED_ENTITIES = {
-    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "copy": "©", "reg": "®",
-    "trade": "™", "ndash": "–", "mdash": "—", "hellip": "…", "laquo": "«",
-    "raquo": "»", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”",
-}
+# A character reference: numeric, or a name that may go on for 32 characters; longer runs of letters end there.
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+# Names of the HTML standard; those without a semicolon also count as the head of a longer run.
+_NAMES = {n.removesuffix(";"): c for n, c in html5.items() if n.endswith(";")}
+_BARE_NAMES = {n: c for n, c in html5.items() if not n.endswith(";")}
+_BARE_HEAD = "^&(" + "|".join(sorted(_BARE_NAMES, key=lambda n: (-len(n), n))) + ")"
+# Numbers 80 to 9F mean the characters of the Windows code page, where it has any.
+_C1 = "".join(map(chr, range(0x80, 0xA0)))
+_WINDOWS = "".join(bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(0x80, 0xA0))
 
 
 def _numeric_character(ref: Column) -> Column:
-    hexed = F.regexp_extract(ref, "(?i)^&#x([0-9a-f]+);?$", 1)
+    hexed = F.regexp_extract(ref, "^&#[xX]0*([0-9a-fA-F]+);?$", 1)
     decimal = F.regexp_extract(ref, "^&#([0-9]+);?$", 1)
     code = F.when(hexed != "", hexed).otherwise(F.hex(decimal.try_cast("bigint")))
-    valid = (F.length(code) <= 6) & (F.conv(code, 16, 10).cast("bigint") <= 0x10FFFF)
-    return F.when(valid, F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+    number = F.when(F.length(code) <= 6, F.conv(code, 16, 10).cast("bigint"))
+    text = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    nothing = (
+        number.between(1, 8) | number.isin(0x0B, 0x7F) | number.between(0x0E, 0x1F) | number.between(0xFDD0, 0xFDEF)
+        | (number % 0x10000 >= 0xFFFE)
+    )
+    character = F.translate(F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32"), _C1, _WINDOWS)
+    return F.when(text, F.when(nothing, F.lit("")).when(number == 0xFEFF, F.lit("\ufeff")).otherwise(character)).otherwise(F.lit("\ufffd"))
+
+
+def _named_character(ref: Column) -> Column:
+    """A whole name, else the longest name at the head that needs no semicolon, else the text as it is."""
+    names, bare = (F.from_json(F.lit(json.dumps(n)), "map<string,string>") for n in (_NAMES, _BARE_NAMES))
+    head = F.regexp_extract(ref, _BARE_HEAD, 1)
+    whole = F.when(ref == "&amp;", F.lit("&")).when(ref.endswith(";"), F.element_at(names, F.substr(ref, F.lit(2), F.length(ref) - 2)))
+    part = F.when(head != "", F.concat(F.element_at(bare, head), F.substr(ref, F.length(head) + 2)))
+    return F.coalesce(whole, part, ref)
 
 
 def unescape_entities(value: Column) -> Column:
-    """Replace numeric and common named character references."""
-    refs = F.array_distinct(F.regexp_extract_all(value, F.lit("(?i)&#(?:x[0-9a-f]+|[0-9]+);?"), F.lit(0)))
-    # Longest first, so that &#1 never eats the head of &#12.
-    ordered = F.transform(
-        F.array_sort(F.transform(refs, lambda r: F.struct((-F.length(r)).alias("n"), r.alias("r")))), lambda s: s["r"]
-    )
-    out = F.aggregate(ordered, value, lambda acc, r: F.replace(acc, r, _numeric_character(r)))
-    named = F.from_json(F.lit(json.dumps([[f"&{n};", c] for n, c in _NAMED_ENTITIES.items()])), "array<array<string>>")
-    out = F.aggregate(named, out, lambda acc, p: F.replace(acc, F.get(p, F.lit(0)), F.get(p, F.lit(1))))
-    out = F.replace(out, F.lit("&amp;"), F.lit("&"))
+    """Replace character references, in one pass from left to right: what a reference gives is not read again."""
+    texts = F.split(value, _REFERENCE, -1)
+    refs = F.regexp_extract_all(value, F.lit(_REFERENCE), F.lit(0))
+    read = F.transform(refs, lambda r: F.when(r.startswith("&#"), _numeric_character(r)).otherwise(_named_character(r)))
+    out = F.array_join(F.zip_with(texts, read, lambda t, c: F.concat(t, F.coalesce(c, F.lit("")))), "")
     return F.when(value.contains("&"), out).otherwise(value)
 
 

@@ -126,3 +126,21 @@ def test_alternation(evaluate):
     fixed = S.assign_alternating(F.col("v"), "a", None)
     got = evaluate([(1,), (2,)], "v int", p=pair["primary"], f=pair["fallback"], q=fixed["primary"], g=fixed["fallback"])
     assert got == [("b", "a", "a", None), ("a", "b", "a", None)]
+
+
+def test_character_references(spark, evaluate):
+    import html
+    import random
+
+    from firmloom.functions.html import unescape_entities
+
+    rnd = random.Random(5)
+    names = [*html.entities.html5, "amp", "notit;", "notin;", "no", "xyz;", "eacute", "copy", "AMP;", "amplt;", "a" * 40]
+    numbers = ["#38;", "#38", "#x26;lt;", "#0;", "#x0", "#128;", "#x9F;", "#129", "#13;", "#11;", "#127;", "#xD800;", "#xFDD0;", "#xFFFF;", "#x1FFFE;", "#x110000;", "#x10FFFF;", "#99999999999999999999999;", "#x000000041;", "#;", "#x;", "#xg", "#1234567"]
+    texts = ["&eacute;&middot;&copy", "&notit;", "&#38;lt;", "&amp;lt;", "&amp;amp;", "", "&", "&&amp;", "a & b", "&ampx=1&copy=2", "no reference"] + [f"&{n}" for n in numbers]
+    for _ in range(600):
+        texts.append("".join(rnd.choice((f"&{rnd.choice(names)}", f"&{rnd.choice(numbers)}", f"&#{rnd.randrange(1200000)};", f"&#x{rnd.randrange(70000):x}", rnd.choice(";&#x \t<=é😀lt"), "text")) for _ in range(rnd.randrange(8))))
+    texts += [f"&{n}" for n in html.entities.html5]
+    got = evaluate([(t,) for t in texts], "t string", u=unescape_entities(F.col("t")))
+    wrong = [(t, g, html.unescape(t)) for t, g in zip(texts, got, strict=True) if g != html.unescape(t)]
+    assert wrong == []

@@ -89,18 +89,26 @@ def _as_json_list(value: Column) -> Column:
     return F.coalesce(F.from_json(listed, "array<string>", {"allowSingleQuotes": "false"}), empty_strings())
 
 
-def company_nodes(nodes: Column, graph_depth: int = 8) -> Column:
-    """The company-like ones among JSON nodes, with ``@graph`` lists opened."""
+def company_nodes(nodes: Column) -> Column:
+    """The company-like ones among JSON nodes, with ``@graph`` lists opened however deep they lie.
+
+    A level is opened as often as the nodes speak of a graph (or escape what
+    could be one): no graph can lie deeper.  Nodes come level by level.
+    """
 
     def opened(nodes: Column) -> Column:
         inner = F.flatten(F.transform(nodes, lambda n: _as_json_list(F.get_json_object(n, "$['@graph']"))))
         return F.filter(inner, lambda n: n.isNotNull())
 
-    level = all_nodes = nodes
-    for _ in range(graph_depth):
-        level = opened(level)
-        all_nodes = F.concat(all_nodes, level)
-    return F.filter(all_nodes, lambda n: F.coalesce(F.get_json_object(n, "$['@type']").rlike(_COMPANY_TYPES), F.lit(False)))
+    def step(seen: Column, _: Column) -> Column:
+        level = F.when(F.size(seen["level"]) > 0, opened(seen["level"])).otherwise(empty_strings())
+        return F.struct(level.alias("level"), F.concat(seen["every"], level).alias("every"))
+
+    deepest = F.aggregate(nodes, F.lit(0), lambda n, node: n + F.coalesce(F.regexp_count(node, F.lit(r"graph|\\u")), F.lit(0)))
+    turns = F.when(deepest > 0, F.sequence(F.lit(1), deepest)).otherwise(F.array().cast("array<int>"))
+    start = F.struct(nodes.cast("array<string>").alias("level"), nodes.cast("array<string>").alias("every"))
+    every = F.aggregate(turns, start, step, lambda seen: seen["every"])
+    return F.filter(every, lambda n: F.coalesce(F.get_json_object(n, "$['@type']").rlike(_COMPANY_TYPES), F.lit(False)))
 
 
 def node_values(nodes: Column, field: str) -> Column:

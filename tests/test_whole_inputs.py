@@ -46,6 +46,9 @@ def test_deep_graphs_are_opened(evaluate):
     for _ in range(6):
         node = f'{{"@graph": [{node}]}}'
     assert any("Deep" in n for n in evaluate([(node,)], "node string", n=SG.company_nodes(F.array("node"))) [0])
+    for _ in range(34):
+        node = f'{{"x": 1, "@graph": [{{"y": 2}}, {node}]}}'
+    assert evaluate([(node,), ('{"a": 1}',), (None,)], "node string", n=F.size(SG.company_nodes(F.array("node")))) == [1, 0, 0]
 
 
 def test_upsert_with_ties_and_null_keys(spark):

@@ -37,7 +37,7 @@ LONGEST = OVERLAP + 1
 #: One window in so many is a trigger.
 TRIGGER = 16
 #: Words of the dictionary that a task counts at once, and chunks or words that it gathers before it hands them on.
-COUNTED_WORDS, GATHERED = 2_000_000, 200_000
+COUNTED_WORDS, GATHERED = 3_000_000, 200_000
 NO_LANGUAGE = "und"
 #: Bytes as they count: A-Z lower-cased, every end of a piece a line end.  UTF-8 keeps other code points apart from these bytes.
 BYTES = bytes.maketrans(UPPER.encode() + b".,;:!?\x0b\x0c\r", LOWER.encode() + b"\n" * 9)

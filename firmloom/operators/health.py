@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from firmloom.functions.constants import BLOCK_SIGNALS
 from firmloom.functions.text import contains_any, first_nonempty, nonempty
 from firmloom.operators.frontier import needs_browser
-from firmloom.skew import lookup_join, running_totals
+from firmloom.skew import CHUNK_ROWS, lookup_join, previous_value, running_totals
 
 _BLOCKED_NOTE = "Detected blocking or challenge indicators in search/fetch results."
 _EMPTY_NOTE = "Search completed but produced no result URLs."
@@ -58,6 +58,39 @@ def infer_query_status(tasks: DataFrame, results: DataFrame) -> DataFrame:
     return joined.withColumns(_verdict(F.col("status"), details, blocked, F.coalesce("_n", F.lit(0)))).drop("_n", "_hit")
 
 
+def infer_joined_status(tasks: DataFrame, results: DataFrame, position: str = "seq", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """:func:`infer_record_status` from flat rows: a signal may also lie across the joint of two texts.
+
+    ``tasks`` has query_id, status, error and note, ``results`` query_id, title,
+    url, final_url and ``position``, a unique integer within the query above
+    -2^62.  The texts of a query are its details, then its results by position,
+    with a space in between.  A joint and a result hold a space each, so a
+    signal with at most three reaches over two joints; each result is judged
+    with the ends of the two texts before it, and no query is gathered.
+    """
+    longest = max(map(len, BLOCK_SIGNALS))
+    if max(s.count(" ") for s in BLOCK_SIGNALS) > 3:
+        raise ValueError("a signal of more than three spaces reaches over more than two joints")
+    details = _details(F.col("error"), F.col("note"))
+    final = F.coalesce(first_nonempty(F.col("final_url"), F.col("url")), F.lit(""))
+    own = F.lower(F.concat(F.coalesce("title", F.lit("")), F.lit(" "), final))
+    first = tasks.where(details.isNotNull()).select("query_id", F.lit(-(1 << 62)).alias("_at"), F.lower(details).alias("_text"), F.lit(0).alias("_one"))
+    texts = first.unionByName(results.select("query_id", F.col(position).cast("bigint").alias("_at"), own.alias("_text"), F.lit(1).alias("_one")))
+    ends = texts.select(
+        "query_id", "_at", "_one", contains_any(F.col("_text"), BLOCK_SIGNALS).alias("_hit"),
+        F.left("_text", F.lit(longest)).alias("_head"), F.right("_text", F.lit(longest)).alias("_tail"),
+    )
+    near = previous_value(ends, "query_id", "_at", "_tail", "_p1", chunk_rows)
+    near = previous_value(near, "query_id", "_at", "_p1", "_p2", chunk_rows)
+    # a text that was cut hides what it follows
+    before = F.when(F.length("_p1") < longest, F.concat_ws(" ", "_p2", "_p1")).otherwise(F.col("_p1"))
+    across = F.coalesce(contains_any(F.concat(before, F.lit(" "), F.col("_head")), BLOCK_SIGNALS), F.lit(False))
+    flags = near.groupBy("query_id").agg(F.sum("_one").alias("_n"), F.max(F.col("_hit") | across).alias("_blocked"))
+    joined = tasks.join(flags, "query_id", "left")
+    verdict = _verdict(F.col("status"), details, F.coalesce("_blocked", F.lit(False)), F.coalesce("_n", F.lit(0)))
+    return joined.withColumns(verdict).drop("_n", "_blocked")
+
+
 def block_guard(
     outcomes: DataFrame, min_processed: int = 10, stop_rate: float = 0.20, run: str = "run_id", index: str = "idx",
     chunk_rows: int | None = None,

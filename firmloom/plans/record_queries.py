@@ -452,6 +452,38 @@ def query_status(spark, sf_dir):
     return HL.infer_query_status(tasks, results).select("query_id", "inferred_status", "status_detail")
 
 
+_JOINT_TITLE = "CASE WHEN seq % 3 = 0 THEN 'In the news' WHEN seq % 50 = 1 THEN 'denied' ELSE title END"
+_JOINT_FINAL = f"CASE WHEN seq % 37 = 0 THEN {_FINAL} || '/sign' WHEN seq % 41 = 0 THEN 'you are' ELSE {_FINAL} END"
+
+
+@query(
+    "joined_query_status",
+    f"""WITH t AS (SELECT c_custkey AS query_id, CASE WHEN c_custkey % 9 = 0 THEN NULL WHEN c_custkey % 4 = 0 THEN 'failed' ELSE 'ok' END AS status,
+                   CASE c_custkey % 11 WHEN 0 THEN 'HTTP 403 Forbidden' WHEN 1 THEN 'timeout' WHEN 2 THEN 'no access' END AS error, CASE WHEN c_custkey % 6 = 0 THEN 'fallback used' END AS note FROM customer),
+        r AS (SELECT query_id, seq, lower(coalesce({_JOINT_TITLE}, '') || ' ' || {_JOINT_FINAL}) AS item FROM fx_results),
+        g AS (SELECT query_id, count(*) AS n, string_agg(item, ' ' ORDER BY seq) AS items FROM r GROUP BY query_id),
+        j AS (SELECT t.*, coalesce(status, 'failed') AS given, nullif(concat_ws(' | ', error, note), '') AS details, coalesce(n, 0) AS n, items FROM t LEFT JOIN g USING (query_id)),
+        k AS (SELECT *, coalesce({any_of("concat_ws(' ', lower(details), items)", BLOCK_SIGNALS)}, false) AS blocked FROM j)
+        SELECT query_id, CASE WHEN blocked THEN 'blocked' WHEN given = 'ok' AND n = 0 THEN 'failed' ELSE given END AS inferred_status,
+               CASE WHEN blocked THEN coalesce(details, 'Detected blocking or challenge indicators in search/fetch results.')
+                    WHEN given = 'ok' AND n = 0 THEN coalesce(details, 'Search completed but produced no result URLs.') ELSE details END AS status_detail FROM k""",
+    ["fx_results"],
+)
+def joined_query_status(spark, sf_dir):
+    k, seq = F.col("c_custkey"), F.col("seq")
+    tasks = fx.table(spark, sf_dir, "customer").select(
+        k.alias("query_id"), F.when(k % 9 == 0, F.lit(None)).when(k % 4 == 0, "failed").otherwise("ok").alias("status"),
+        F.when(k % 11 == 0, "HTTP 403 Forbidden").when(k % 11 == 1, "timeout").when(k % 11 == 2, "no access").alias("error"),
+        F.when(k % 6 == 0, "fallback used").alias("note"),
+    )
+    final = F.coalesce("final_url", "url")
+    results = fx.results(spark, sf_dir).select(
+        "query_id", "seq", "url", F.when(seq % 3 == 0, "In the news").when(seq % 50 == 1, "denied").otherwise(F.col("title")).alias("title"),
+        F.when(seq % 37 == 0, F.concat(final, F.lit("/sign"))).when(seq % 41 == 0, "you are").otherwise(final).alias("final_url"),
+    )
+    return HL.infer_joined_status(tasks, results).select("query_id", "inferred_status", "status_detail")
+
+
 @query(
     "block_guard",
     """WITH r AS (SELECT *, sum(blocked::INT) OVER (PARTITION BY run_id ORDER BY idx)::BIGINT AS blocked_so_far FROM fx_fetches),

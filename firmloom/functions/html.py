@@ -20,6 +20,7 @@ from firmloom.functions.constants import (
 )
 from firmloom.functions.contacts import find_all, find_emails
 from firmloom.functions.text import (
+    let,
     clean_text,
     contains_any,
     empty_strings,
@@ -225,6 +226,25 @@ def json_ld_company_text(html: Column) -> Column:
     return F.get(nodes, F.lit(0))
 
 
+def overlaid(node: Column, given: Column) -> Column:
+    """JSON text of the object ``node`` with the keys of the object ``given`` put over its own; a null node adds nothing.
+
+    Values stay variants, so numbers, nested objects and nulls come out as they
+    went in.  Of a key that a node repeats, the last value counts.
+    """
+
+    def merged(entries: Column, own: Column) -> Column:
+        names = F.transform(entries, lambda e: e["key"])
+        later = lambda e, i: F.array_contains(F.slice(names, i + 2, F.size(names)), e["key"])
+        last = F.when(F.size(F.array_distinct(names)) == F.size(names), entries).otherwise(F.filter(entries, lambda e, i: ~later(e, i)))
+        kept = F.filter(last, lambda e: ~F.array_contains(F.map_keys(own), e["key"]))
+        return F.to_json(F.map_from_entries(F.concat(kept, F.map_entries(own))))
+
+    kind = "map<string,variant>"
+    of_node = F.coalesce(F.from_json(node, kind), F.from_json(F.lit("{}"), kind))
+    return let(F.map_entries(of_node), lambda e: let(F.from_json(given, kind), lambda own: merged(e, own)))
+
+
 def company_from_node(node: Column) -> Column:
     """Company fields of one structured-data node; null fields for a null node."""
     n = F.from_json(node, _NODE_SCHEMA)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from firmloom.functions import html as H
 from firmloom.functions.text import clean_text, empty_strings, first_nonempty, first_of, nonempty, sorted_distinct
@@ -10,7 +10,7 @@ from firmloom.functions.urls import resolve_links, url_authority, url_path, url_
 
 OBSERVATION_FIELDS = (
     "company_name", "website", "email", "phone", "address", "city", "state_region", "country", "postal_code",
-    "industry", "description", "social_links", "confidence", "extractor_version", "page_type",
+    "industry", "description", "social_links", "raw_fields", "confidence", "extractor_version", "page_type",
 )
 METADATA_FIELDS = (
     "title", "meta_description", "emails", "phones", "addresses", "page_type", "important_page_links",
@@ -82,7 +82,7 @@ def parse_pages(
             "phones": first_of(F.col("phones"), max_phones),
             "addresses": first_of(F.col("addresses"), max_addresses),
         }
-    )
+    ).withColumn("raw_fields", _raw_fields(starter))
     kept = [c for c in pages.columns if c != html]
     names = dict.fromkeys([*kept, *OBSERVATION_FIELDS, *METADATA_FIELDS, "jsonld_raw", "discovered_links"])
     return out.select(*names)
@@ -92,6 +92,16 @@ def _first(values: str):
     return F.get(F.col(values), F.lit(0))
 
 
+def _raw_fields(starter: bool) -> Column:
+    """What the observation was read from, as JSON: the structured node, and what the page itself says."""
+    node = F.col("jsonld_raw")
+    said = [F.col("title"), F.col("meta_description").alias("description"), F.col("emails"), F.col("phones")]
+    if starter:
+        return F.coalesce(node, F.to_json(F.struct(*said), {"ignoreNullFields": "false"}))
+    more = ("addresses", "important_page_links", "important_page_candidates", "page_type")
+    return H.overlaid(node, F.to_json(F.struct(*said, *more), {"ignoreNullFields": "false"}))
+
+
 def _staged_observation(found: DataFrame, url: str) -> DataFrame:
     has_node = F.col("jsonld_raw").isNotNull()
     reachable = (F.size("emails") > 0) | (F.size("phones") > 0)

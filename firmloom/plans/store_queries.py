@@ -11,8 +11,8 @@ from firmloom.operators import frontier as FR, pages as PG
 from firmloom.plans import fixtures as fx
 from firmloom.plans.fixtures_sql import canonical_url, url_parts
 from firmloom.plans.frontier_queries import ts_text
-from firmloom.plans.page_queries import _GUESSED_NAME, _SIGNALS
-from firmloom.plans.registry import query
+from firmloom.plans.page_queries import _GUESSED_NAME, _SIGNALS, _ld, both
+from firmloom.plans.registry import SQL, query
 from firmloom.session import ensure_checkpoint_dir
 from firmloom.sources import tables as TB
 from firmloom.streaming import stages as ST
@@ -98,6 +98,50 @@ def evidence_rows(spark, sf_dir):
     return out.select("evidence_object_key", F.length("payload").cast("bigint").alias("payload_chars"))
 
 
+_SAID = "'title', 'description', 'emails', 'phones', 'addresses', 'important_page_links', 'important_page_candidates', 'page_type'"
+
+
+@query(
+    "raw_fields",
+    f"""WITH {_SIGNALS}
+        SELECT page_id, json_extract_string(node, '$."@type"') AS node_type, {_ld('$.name')} AS node_name,
+               {_ld('$.address.postalCode')} AS node_postal_code, {_ld('$.sameAs[0]')} AS node_link, title, meta_description AS description,
+               array_to_string(emails[:10], ' ; ') AS emails, array_to_string(phones[:10], ' ; ') AS phones,
+               array_to_string(addresses[:5], ' ; ') AS addresses, page_type,
+               8 + coalesce(len(list_filter(json_keys(node), lambda k: k NOT IN ({_SAID}))), 0) AS n_keys FROM typed""",
+    ["fx_company_html"],
+)
+def raw_fields(spark, sf_dir):
+    raw = F.col("raw_fields")
+    at = {"node_type": "$['@type']", "node_name": "$.name", "node_postal_code": "$.address.postalCode", "node_link": "$.sameAs[0]",
+          "title": "$.title", "description": "$.description", "page_type": "$.page_type"}
+    lists = [
+        F.array_join(F.from_json(F.get_json_object(raw, f"$.{n}"), "array<string>"), " ; ").alias(n) for n in ("emails", "phones", "addresses")
+    ]
+    n_keys = F.size(F.json_object_keys(raw)).cast("bigint").alias("n_keys")
+    parsed = PG.parse_pages(both(spark, sf_dir)).select("page_id", "raw_fields")
+    return parsed.select("page_id", *[F.get_json_object(raw, path).alias(n) for n, path in at.items()], *lists, n_keys)
+
+
+_REPLAYED = (
+    "company_name", "website", "email", "phone", "address", "city", "industry", "description", "social_links", "page_type", "confidence",
+    "extractor_version",
+)
+
+
+@query(
+    "evidence_observations",
+    f"WITH p AS ({SQL['parse_pages']}) SELECT 'h/' || page_id || '.json' AS evidence_object_key, {', '.join(_REPLAYED)} FROM p",
+)
+def evidence_observations(spark, sf_dir):
+    """Observations of all pages, rebuilt from the evidence that was stored of them."""
+    parsed = PG.parse_pages(both(spark, sf_dir)).withColumn("host", F.lit("h"))
+    evidence = TB.evidence_rows(parsed, PG.OBSERVATION_FIELDS, PG.METADATA_FIELDS, key="page_id")
+    back = TB.observations_of_evidence(evidence, parsed.select(*PG.OBSERVATION_FIELDS).schema)
+    plain = [F.array_join(c, " ").alias(c) if c == "social_links" else F.col(c) for c in _REPLAYED]
+    return back.select("evidence_object_key", *plain)
+
+
 # --- streams over the shared tables ------------------------------------------
 def _stream(spark, sf_dir, name):
     schema = fx.table(spark, sf_dir, name).schema
@@ -166,6 +210,23 @@ def stream_first_arrivals(spark, sf_dir):
     return _drain(spark, ST.first_arrivals(rows)).select("url")
 
 
+@query(
+    "stream_arrivals",
+    "SELECT DISTINCT 'https://h' || user_id || '.example.com/p' || event_id % 50 AS url FROM events",
+)
+def stream_arrivals(spark, sf_dir):
+    """The same in four batches, with a table as the memory."""
+    e = F.col("event_id")
+    url = F.concat(F.lit("https://h"), F.col("user_id").cast("string"), F.lit(".example.com/p"), (e % 50).cast("string"))
+    root = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    events = fx.table(spark, sf_dir, "events").repartition(4, "event_id")
+    rows = events.select(url.alias("url"), F.sha2(url, 256).alias("url_hash"))
+    rows.write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    ST.arrivals_stage(stream, f"{root}/out", f"{root}/checkpoint", buckets=8, available_now=True).awaitTermination()
+    return ST.stored_arrivals(spark, f"{root}/out", rows.schema).select("url")
+
+
 @query(
     "stream_counters",
     """SELECT user_id % 10 AS run_id, count(*) AS completed_count, count_if(event_type <> 'error') AS succeeded_count,

@@ -197,3 +197,10 @@ def evidence_rows(parsed: DataFrame, observation: Sequence[str], metadata: Seque
     payload = F.to_json(F.struct(F.struct(*observation).alias("observation"), F.struct(*metadata).alias("metadata")))
     name = F.concat(F.col(host), F.lit("/"), F.col(key).cast("string"), F.lit(".json"))
     return parsed.select(name.alias("evidence_object_key"), payload.alias("payload"))
+
+
+def observations_of_evidence(evidence: DataFrame, observation: T.StructType) -> DataFrame:
+    """Observations read back from stored evidence: evidence_object_key and the columns of ``observation``."""
+    shape = T.StructType([T.StructField("observation", observation)])
+    read = evidence.select("evidence_object_key", F.from_json("payload", shape).alias("_read"))
+    return read.select("evidence_object_key", "_read.observation.*")

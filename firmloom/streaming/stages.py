@@ -144,9 +144,8 @@ def _pick(schema: T.StructType, names: list[str], *more: T.StructField) -> T.Str
 
 
 def _observed_schema() -> T.StructType:
-    names = [n for n in schemas.OBSERVATIONS.names if n != "raw_fields"]
     extra = (T.StructField("source_url", T.StringType()), T.StructField("batch_id", T.LongType()))
-    return _pick(schemas.OBSERVATIONS, names, *extra)
+    return _pick(schemas.OBSERVATIONS, schemas.OBSERVATIONS.names, *extra)
 
 
 def _company_schema() -> T.StructType:
@@ -181,6 +180,46 @@ def first_arrivals(rows: DataFrame, key: str = "url_hash", event_time: str | Non
     return rows.dropDuplicates([key])
 
 
+def arrivals_batch(rows: DataFrame, batch_id: int, root: str, key: str = "url_hash", buckets: int = 256) -> None:
+    """Store the rows of a batch whose key no earlier batch brought, one row for each key.
+
+    ``root`` holds them partitioned by batch and by the bucket of their key; a
+    batch reads the key column of its own buckets only, of which at most
+    ``buckets`` numbers reach the driver.  A batch that comes again looks at
+    those before it and overwrites what it wrote.  A null key is a key.
+    """
+    spark = rows.sparkSession
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    placed = rows.dropDuplicates([key]).withColumn("bucket", bucket)
+    if batch_id > 0:
+        touched = [r.bucket for r in rows.select(bucket.alias("bucket")).distinct().collect()]
+        known = stored_arrivals(spark, root, rows.schema).where((F.col("batch") < batch_id) & F.col("bucket").isin(touched))
+        met = known.select(F.col("bucket").alias("_bucket"), F.col(key).alias("_key"))
+        placed = placed.join(met, (F.col("bucket") == F.col("_bucket")) & F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+    placed.withColumn("batch", F.lit(batch_id).cast("bigint")).write.option("partitionOverwriteMode", "dynamic").partitionBy(
+        "batch", "bucket"
+    ).mode("overwrite").parquet(root)
+
+
+def stored_arrivals(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """First rows of all keys so far, with the batch that brought them and the bucket of the key."""
+    places = [T.StructField("batch", T.LongType()), T.StructField("bucket", T.IntegerType())]
+    return spark.read.schema(T.StructType([*schema.fields, *places])).parquet(root)
+
+
+def arrivals_stage(
+    rows: DataFrame, root: str, checkpoint: str, key: str = "url_hash", buckets: int = 256, available_now: bool = False
+) -> StreamingQuery:
+    """Insert-if-absent over a stream whose keys never end: the memory is a table, no state grows with the keys.
+
+    See :func:`arrivals_batch`; rows must not have columns ``batch`` or ``bucket``.
+    """
+    writer = rows.writeStream.foreachBatch(lambda df, n: arrivals_batch(df, n, root, key, buckets)).option(
+        "checkpointLocation", checkpoint
+    )
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
 def live_counters(outcomes: DataFrame, by: str = "run_id") -> DataFrame:
     """Counters per run over a stream of outcomes (update or complete mode)."""
     return HL.outcome_counters(outcomes, by=by)

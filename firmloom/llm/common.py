@@ -43,14 +43,36 @@ def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     return met
 
 
+#: Spark's own setting that removes a query's shuffle files when the query ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back: cuts lineage, survives lost executors."""
+    """Write ``df`` to the shared checkpoint folder and read it back: cuts lineage, survives lost executors.
+
+    The shuffle files of the write go with its end, as nothing reads them after it.
+    """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete the folders of tables that ``stored`` returned, once no table reads them any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if folder.rsplit("/", 1)[1].startswith("llm-"):
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def hinted(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` (stored, narrow) with a broadcast hint if a count shows at most ``max_rows`` rows, else as it is."""
     return F.broadcast(df) if df.count() <= max_rows else df

@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from firmloom.llm.common import hinted, same, stored, table, text_key
+from firmloom.llm.common import discard, hinted, same, stored, table, text_key
 from firmloom.session import map_frames
 
 #: Buckets of the frequency sketch (4 bytes each where it is used): its size never grows with the data.
@@ -170,9 +170,12 @@ def entries(classes: DataFrame, percent: int) -> DataFrame:
     counts = every.join(several, "half", "left_semi").groupBy("no").agg(F.count(F.lit(1)).alias("_n"))
     live = classes.join(counts, "no").where(F.col("_n") >= F.ceil(least / 20))  # a partner may be smaller, and so guarantee less
     plain = F.slice("prefix", F.lit(1), (F.col("n") - least + 1).cast("int"))
-    rows = _shared(stored(live.select("cls", "n", "central", F.posexplode(plain).alias("pos", "token"))), "cls")
-    known = rows.withColumn("known", F.row_number().over(W.partitionBy("cls").orderBy("pos")) - 1)
-    return stored(_shared(stored(known.where(F.col("known") + F.col("n") - F.col("pos") >= least)), "cls"))
+    all_rows = stored(live.select("cls", "n", "central", F.posexplode(plain).alias("pos", "token")))
+    known = _shared(all_rows, "cls").withColumn("known", F.row_number().over(W.partitionBy("cls").orderBy("pos")) - 1)
+    able = stored(known.where(F.col("known") + F.col("n") - F.col("pos") >= least))
+    kept = stored(_shared(able, "cls"))
+    discard(all_rows, able)
+    return kept
 
 
 def may_link(x: Sequence[Column], y: Sequence[Column], percent: int) -> Column:
@@ -192,9 +195,11 @@ def read_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, words: int) -
             sets = [shingler(t) for t in f["text"]]
             yield pd.DataFrame({"cls": [class_of(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
 
-    ids = hinted(stored(rows.where("n > 0").join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("id").alias("id")).select("id")))
-    found = docs.join(ids, same(docs, ids, "id"), "left_semi").select("text")
-    return stored(map_frames(found, run, "cls long, shingles binary").dropDuplicates(["cls"]))
+    ids = stored(rows.where("n > 0").join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("id").alias("id")).select("id"))
+    found = docs.join(hinted(ids), same(docs, ids, "id"), "left_semi").select("text")
+    sets = stored(map_frames(found, run, "cls long, shingles binary").dropDuplicates(["cls"]))
+    discard(ids)
+    return sets
 
 
 def verified(pairs: DataFrame, info: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -225,6 +230,7 @@ def connected(edges: DataFrame) -> DataFrame:
     """
     edges = stored(edges.where("a <> b").select("a", "b").distinct())
     labels = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().withColumn("comp", F.col("node"))
+    spent = [edges]
     while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
         up = stored(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("at"), F.least("a", "b").alias("up")))
@@ -232,7 +238,10 @@ def connected(edges: DataFrame) -> DataFrame:
         moved = edges.join(up, F.col("a") == F.col("at")).select(F.col("up").alias("a"), "b")
         moved = moved.join(up, F.col("b") == F.col("at")).select("a", F.col("up").alias("b"))
         edges = stored(moved.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    return stored(labels)
+        spent += [up, edges]
+    found = stored(labels)
+    discard(*spent)
+    return found
 
 
 def _components(rows: DataFrame, edges: DataFrame | None) -> DataFrame:
@@ -291,17 +300,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, text: st
     live = entries(classes, percent)
     sets = read_sets(d, rows, live.select("cls").distinct(), words)
     info = stored(classes.join(live.select("cls").distinct(), "cls", "left_semi").select("cls", "n", "parts"))
+    discard(classes)
     edges = None
     for turn in range(3):
         open_rows = stored(_shared(_components(live, edges), "comp"))
         if open_rows.isEmpty():
+            discard(open_rows)
             break
         if turn < 2:
             pairs = star_pairs(open_rows, F.col("central") if turn == 0 else F.xxhash64("cls", "token").cast("double"), percent)
         else:
             pairs = cross_pairs(open_rows, percent)
-        more = verified(stored(pairs), info, sets, percent)
+        pairs = stored(pairs)
+        more = verified(pairs, info, sets, percent)
         edges = more if edges is None else edges.union(more)
+        discard(open_rows, pairs)
+    discard(live, sets, info)
     grouped = _components(rows, edges)
     smallest = grouped.where("n > 0").groupBy("comp").agg(F.min("id").alias("least")).withColumnRenamed("comp", "of")
     met = grouped.join(smallest, (F.col("n") > 0) & (F.col("comp") == F.col("of")), "left")

@@ -4,14 +4,15 @@ First every chunk of edges, of bounded size, becomes a forest of stars in one
 task; paths and dense parts inside a chunk are gone after that.  A graph of one
 chunk is done.  For others the two steps of the published large-star /
 small-star method follow: every node hangs its larger (then its smaller)
-neighbours below the smallest node it knows, until nothing moves.  The number
-of rounds grows with the logarithm of the graph, not with its diameter.
+neighbours below the smallest node it knows, until only stars are left.  The
+number of rounds grows with the logarithm of the graph, not with its diameter,
+and a component that is a star takes no part in later rounds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -22,6 +23,8 @@ from firmloom.skew import HOT_KEY_ROWS
 
 #: Edges that one task contracts at once.
 CHUNK_EDGES = 1_000_000
+#: Most nodes (of 8 bytes) that a join copies to every executor.
+BROADCAST_NODES = 1_000_000
 
 
 def _stars(u: pd.Series, v: pd.Series) -> pd.DataFrame:
@@ -78,9 +81,29 @@ def _small_star(edges: DataFrame, hot_rows: int) -> DataFrame:
     return moved.where(F.col("u") != F.col("v")).distinct()
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    """Count and hash sum: all that reaches the driver per round, whatever the size of the graph."""
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _bounded(nodes: DataFrame, count: int) -> DataFrame:
+    return F.broadcast(nodes) if count <= BROADCAST_NODES else nodes
+
+
+def _open_centres(edges: DataFrame) -> tuple[DataFrame, int]:
+    """(v, count of them): centres whose component is no star yet.
+
+    A node is bent if it hangs below two nodes, or below one while others hang
+    below it.  A node that isn't bent is a leaf of one edge or a centre only, so
+    a component without bent nodes is a star, and in others each edge that
+    touches no bent node shares its centre with one that does.
+    """
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+        F.struct(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")),
+    )).alias("e")).select("e.*")
+    met = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    bent = cut_lineage(met.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).select("node"))
+    count = bent.count()
+    few = _bounded(bent, count)
+    below = edges.join(few.withColumnRenamed("node", "u"), "u", "left_semi").select("v")
+    centres = cut_lineage(below.unionByName(bent.withColumnRenamed("node", "v")).distinct())
+    return centres, centres.count()
 
 
 def connected_components(pairs: DataFrame, hot_rows: int = HOT_KEY_ROWS, chunk_edges: int = CHUNK_EDGES) -> DataFrame:
@@ -98,9 +121,12 @@ def connected_components(pairs: DataFrame, hot_rows: int = HOT_KEY_ROWS, chunk_e
     dealt = edges.repartition(1) if chunks <= 1 else edges.repartition(chunks, "u", "v")
     kind = edges.schema["u"].dataType.simpleString()
     edges = cut_lineage(map_frames(dealt, partial(_contract, most=chunk_edges), f"u {kind}, v {kind}").distinct())
-    before = () if chunks > 1 else None
-    while before is not None and (now := _fingerprint(edges)) != before:
-        before = now
-        edges = cut_lineage(_small_star(_large_star(edges, hot_rows), hot_rows))
-    roots = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    stars, count = ([edges], 0) if chunks <= 1 else ([], 1)
+    while count:
+        moved = cut_lineage(_small_star(_large_star(edges, hot_rows), hot_rows))
+        centres, count = _open_centres(moved)
+        near = _bounded(centres, count)
+        stars.append(moved.join(near, "v", "left_anti").select("u", "v") if count else moved)
+        edges = cut_lineage(moved.join(near, "v", "left_semi").select("u", "v")) if count else moved
+    roots = reduce(DataFrame.unionByName, stars).select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.join(roots, "node", "left").select("node", F.coalesce("component", "node").alias("component"))

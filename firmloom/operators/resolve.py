@@ -266,12 +266,17 @@ def assign_companies(
         )
         pairs = pairs.unionByName(seeds.select(F.col("_a").alias("a"), F.col("_b").alias("b")))
     labels = connected_components(pairs, hot_rows).select(F.col("node").alias("_a"), "component")
-    labelled = lookup_join(narrow, labels, "_a", F.col("id"), hot_rows).drop("_a", "_b")
+    # Counted per key first: only keys, not observations, are grouped by component.
     named = F.coalesce(F.nullif(F.col("name"), F.lit("")), F.lit(""))
-    stats = labelled.groupBy("component").agg(
+    by_key = narrow.groupBy("_a").agg(
         F.count(F.lit(1)).alias("_rows"), F.count("domain").alias("_with_domain"), F.min("domain").alias("_d0"),
         F.max("domain").alias("_d1"), F.min(named).alias("_n0"), F.max(named).alias("_n1"), F.min("id").alias("_first"),
     )
+    keys = cut_lineage(by_key.join(labels, "_a"))
+    stats = keys.groupBy("component").agg(
+        *[F.sum(c).alias(c) for c in ("_rows", "_with_domain")], *[F.min(c).alias(c) for c in ("_d0", "_n0", "_first")],
+        *[F.max(c).alias(c) for c in ("_d1", "_n1")],
+    )
     one_domain = (F.col("_with_domain") == F.col("_rows")) & (F.col("_d0") == F.col("_d1"))
     one_name = (F.col("_with_domain") == 0) & (F.col("_n0") != "") & (F.col("_n0") == F.col("_n1"))
     if seeds is not None:
@@ -284,7 +289,10 @@ def assign_companies(
     plan = stats.select(
         "component", "_first", plain.alias("_plain"), (F.col("_rows") > max_fold_rows).alias("_giant")
     )
-    planned = cut_lineage(lookup_join(labelled, plan, "component", F.col("id"), hot_rows))
+    by_component = keys.groupBy("component").count()
+    key_plan = lookup_join(keys.select("_a", "component"), plan, "component", F.col("_a"), hot_rows, by_component)
+    counts = keys.select("_a", F.col("_rows").alias("count"))
+    planned = cut_lineage(lookup_join(narrow.drop("_b"), key_plan, "_a", F.col("id"), hot_rows, counts).drop("_a"))
     rows = planned.where(~F.col("_plain")).withColumn("kind", F.lit(1))
     names = [f.split()[0] for f in _FOLD_ROWS.split(", ")]
     simple = planned.where("_plain").select("id", (F.col("_first") + F.lit(_NEW)).alias("rank"))

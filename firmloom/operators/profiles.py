@@ -109,9 +109,14 @@ def profile_values(facts: DataFrame, key: str = "query_id") -> DataFrame:
     for field, column in CLEANED_LISTS.items():
         lists.append(entries(field, F.transform(F.col(column), clean_text)))
     long = facts.select(key, "pos", F.explode(F.concat(*lists)).alias("e")).select(key, "pos", "e.*")
-    place = F.struct(F.col("pos").cast("bigint").alias("first_pos"), F.col("index").cast("bigint").alias("first_index"))
-    firsts = long.where(F.col("value").isNotNull()).groupBy(key, "field", "value").agg(F.min(place).alias("_first"))
-    return firsts.select(key, "field", "value", "_first.first_pos", "_first.first_index")
+    pos, index = F.col("pos").cast("bigint"), F.col("index").cast("bigint")
+    # One number per place, so that the aggregate hashes and keeps no row; a struct would make it sort all of them.
+    scaled = lambda p: p.cast("decimal(20,0)") * F.lit(1 << 31)
+    firsts = long.where(F.col("value").isNotNull()).groupBy(key, "field", "value").agg(
+        F.min(pos).alias("first_pos"), F.min(scaled(pos) + index).alias("_place")
+    )
+    first_index = (F.col("_place") - scaled(F.col("first_pos"))).cast("bigint").alias("first_index")
+    return firsts.select(key, "field", "value", "first_pos", first_index)
 
 
 def value_lists(values: DataFrame, key: str = "query_id", part_rows: int = PART_ROWS) -> DataFrame:

@@ -1,8 +1,9 @@
 """Work and memory that must not grow faster than the input."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from firmloom.operators import components as CC, profiles as PR
+from firmloom.operators import components as CC, profiles as PR, signals as SG
 from firmloom.plans import fixtures as fx
 from test_larger_inputs import SF_DIR, pytestmark  # noqa: F401
 
@@ -33,3 +34,14 @@ def test_values_of_profiles_are_hashed_not_sorted(spark):
 def test_results_are_numbered_before_their_texts(spark):
     plan = fx.results(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert "@acme.com" in plan and "@acme.com" not in plan[plan.index("Window"):]
+
+
+def test_blocks_are_read_in_small_slices_of_the_same_buffers():
+    html = ["<footer>f <b>x</b></footer><nav class='navbar-brand'>B</nav>", None, "<p>no</p>"] * 100
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(html)], ["page_id", "html"])
+    out = list(SG._with_blocks(iter([batch]), "html", 20))
+    assert max(b.num_rows for b in out) <= SG.SLICE_PAGES and sum(b.num_rows for b in out) == 300
+    assert {b.column(1).buffers()[2].address for b in out} == {batch.column(1).buffers()[2].address}
+    rows = pa.Table.from_batches(out).to_pylist()
+    assert [r["focused_text_blocks"] for r in rows] == [["f x"], [], []] * 100
+    assert [r["nav_brand"] for r in rows] == ["B", None, None] * 100

@@ -186,8 +186,13 @@ def add_discovered_urls(
     frontier: DataFrame, links: DataFrame, now: Column, position: str = "position", ties: Sequence[str] = ("link_no",),
     variant: str = "staged",
 ) -> tuple[DataFrame, DataFrame]:
-    """``links`` as made by :func:`explode_links`; the first arrival keeps its depth."""
-    return insert_if_absent(frontier, discovered_rows(links, variant=variant), now, position, ties)
+    """``links`` as made by :func:`explode_links`; the first arrival keeps its depth.
+
+    Pages of a host repeat their links, so only the first of each text is taken apart;
+    the first of all spellings of a URL is among them.
+    """
+    firsts = first_per_key(links, "url", [position, *ties])
+    return insert_if_absent(frontier, discovered_rows(firsts, variant=variant), now, position, ties)
 
 
 # --- selection ---------------------------------------------------------------

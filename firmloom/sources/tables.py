@@ -14,13 +14,18 @@ _MANIFEST = "version long, tag string, whole boolean"
 
 
 # --- versioned tables --------------------------------------------------------
+def _no_rows(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
+    """An empty frame that the optimizer knows to be empty: what is joined to it isn't shuffled for that."""
+    return spark.createDataFrame([], schema).limit(0)
+
+
 def _versions(spark: SparkSession, root: str) -> DataFrame:
     try:
         return spark.read.schema(_MANIFEST).json(f"{root}/versions")
     except AnalysisException as problem:
         if "PATH_NOT_FOUND" not in (problem.getCondition() or ""):
             raise
-        return spark.createDataFrame([], _MANIFEST)
+        return _no_rows(spark, _MANIFEST)
 
 
 def current_version(spark: SparkSession, root: str) -> int:
@@ -41,7 +46,7 @@ def read_snapshot(spark: SparkSession, root: str, schema: T.StructType, before:
     last = manifest.where("whole").agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
     live = [r.version for r in manifest.where(F.col("version") >= last).select("version").distinct().collect()]
     if not live:
-        return spark.createDataFrame([], schema)
+        return _no_rows(spark, schema)
     return spark.read.schema(schema).parquet(*[f"{root}/v={v}" for v in sorted(live)])
 
 

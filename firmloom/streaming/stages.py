@@ -15,6 +15,8 @@ from firmloom.sources import tables as TB
 
 FETCH_RESULTS_TOPIC = "fetch_results"
 PARSED_DOCUMENTS_TOPIC = "parsed_documents"
+#: Frontier ids whose whole documents one task sorts to number them.
+CHUNK_DOCUMENTS = 50_000
 
 
 # --- JSON messages -----------------------------------------------------------
@@ -117,7 +119,7 @@ def resolve_batch(documents: DataFrame, batch_id: int, store: Store, now: Column
     if not TB.was_published(spark, observed_root, tag):
         old = TB.read_snapshot(spark, observed_root, _observed_schema())
         top = F.coalesce(old.agg(F.max("id")).scalar(), F.lit(0))
-        numbered = number_rows(flat, "frontier_id", ["final_url"], "_n")
+        numbered = number_rows(flat, "frontier_id", ["final_url"], "_n", chunk_rows=CHUNK_DOCUMENTS)
         key = F.concat("host", F.lit("/"), F.col("frontier_id").cast("string"), F.lit(".json"))
         rows = R.observation_rows(numbered.withColumn("id", top + F.col("_n")), "final_url", key)
         shaped = rows.withColumns({"observed_at": now, "batch_id": F.lit(batch_id).cast("bigint")})
